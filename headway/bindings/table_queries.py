@@ -637,24 +637,45 @@ def _(b):
 
 
 @query(
-    "shared_and_missing_services",
+    "services_without_calendar",
     with_views("""
-        SELECT route_id,
-               coalesce(array_to_string(list_sort(list_filter(t, x -> NOT list_contains(c, x))),
-                   '|'), '') AS missing,
-               coalesce(array_to_string(list_sort(list_filter(t, x -> list_contains(c, x))),
-                   '|'), '') AS shared
-        FROM (SELECT feed_id, route_id, list(DISTINCT service_id) AS t FROM trips GROUP BY 1, 2)
-        JOIN (SELECT feed_id, list(service_id) AS c FROM calendar GROUP BY 1) USING (feed_id)"""),
+        SELECT feed_id, service_id FROM trips
+        EXCEPT SELECT feed_id, service_id FROM calendar"""),
 )
 def _(b):
-    # services are a feed's calendar entries; both lists are as long as its calendar at most
-    used = b.trips.groupBy("feed_id", "route_id").agg(F.collect_set("service_id").alias("t"))
-    known = b.calendar.groupBy("feed_id").agg(F.collect_set("service_id").alias("c"))
-    both = used.join(known, "feed_id")
-    both = M.set_difference(both, "t", "c", "missing")
-    both = M.set_intersection(both, "t", "c", "shared")
-    return both.select("route_id", text("missing"), text("shared"))
+    key = ["feed_id", "service_id"]
+    return M.missing_keys(b.trips.select(*key), b.calendar.select(*key))
+
+
+@query(
+    "services_in_both_calendars",
+    with_views("""
+        SELECT feed_id, service_id FROM calendar
+        INTERSECT SELECT feed_id, service_id FROM calendar_dates"""),
+)
+def _(b):
+    key = ["feed_id", "service_id"]
+    return M.shared_keys(b.calendar.select(*key), b.calendar_dates.select(*key))
+
+
+_SIGNS = ("F 1-URGENT", "F 5-LOW", "O 2-HIGH", "P 5-LOW")
+
+
+@query(
+    "headsign_sets",
+    with_stats(f"""
+        SELECT feed_id, route_id,
+               array_to_string(list_sort(list_filter({list(_SIGNS)},
+                   lambda x: NOT list_contains(headsigns, x))), '|') AS missing,
+               array_to_string(list_sort(list_filter(headsigns,
+                   lambda x: list_contains({list(_SIGNS)}, x))), '|') AS shared
+        FROM route_stats"""),
+)
+def _(b):
+    signs = b.summary.route_stats.withColumn("wanted", F.array(*[F.lit(x) for x in _SIGNS]))
+    signs = M.missing_entries(signs, "wanted", "headsigns", "missing")
+    signs = M.shared_entries(signs, "headsigns", "wanted", "shared")
+    return signs.select("feed_id", "route_id", text("missing"), text("shared"))
 
 
 # --- ranking ---------------------------------------------------------------------------
@@ -684,7 +705,7 @@ _PICKED = {
                 ORDER BY {O.seeded("route_id")}, route_id) AS pick
             FROM (SELECT * EXCLUDE (rn) FROM listed) l WHERE trip_count > 0
               AND (feed_id, route_id) NOT IN (SELECT feed_id, route_id FROM tops))
-        WHERE pick <= 15""",
+        WHERE pick <= 8""",
     "picked": "SELECT * FROM tops UNION ALL SELECT * FROM others",
 }
 

@@ -215,10 +215,21 @@ def only_feeds(df: DataFrame, ids: DataFrame) -> DataFrame:
     return df.join(ids.select(FEED).distinct(), FEED, "left_semi")
 
 
-def set_difference(df: DataFrame, left: str, right: str, name: str) -> DataFrame:
-    """Entries of one array column missing from another, in text order."""
+def missing_entries(df: DataFrame, left: str, right: str, name: str) -> DataFrame:
+    """Adds the entries of one array column another lacks, in text order."""
     return df.withColumn(name, F.array_sort(F.array_except(left, right)))
 
 
-def set_intersection(df: DataFrame, left: str, right: str, name: str) -> DataFrame:
+def shared_entries(df: DataFrame, left: str, right: str, name: str) -> DataFrame:
+    """Adds the entries two array columns have in common, in text order."""
     return df.withColumn(name, F.array_sort(F.array_intersect(left, right)))
+
+
+def missing_keys(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Distinct rows of one table another lacks."""
+    return left.subtract(right)
+
+
+def shared_keys(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Distinct rows two tables have in common."""
+    return left.intersect(right)

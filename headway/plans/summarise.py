@@ -109,9 +109,9 @@ class FeedSummary:
     def feed_stats(self) -> DataFrame:
         """One row per feed with all totals."""
         stops = self.tables.stops.groupBy(FEED).agg(
-            F.least(F.count_if("location_type = 1"), F.lit(S.LISTED_STATIONS)).alias(
-                "station_count"
-            )
+            F.least(
+                F.count_if(F.col("location_type") == 1), F.lit(S.LISTED_STATIONS)
+            ).alias("station_count")
         )
         transfers = self.tables.transfers.groupBy(FEED).agg(
             F.count(F.lit(1)).alias("total_transfers")
