@@ -926,7 +926,7 @@ JOURNEY_PARTS = [
 
 @query("journey_pairs", with_stats(" UNION ALL ".join(JOURNEY_PARTS), **_MADE, **_JOURNEY))
 def _(b):
-    return Q.journey_pairs(b.summary).select(*PAIR_FIELDS)
+    return Q.journey_pairs(b.kept).select(*PAIR_FIELDS)
 
 
 def _whole(category: str, label: str, table: str, question: str, answer: str) -> str:
@@ -1050,12 +1050,12 @@ SIZE_PARTS = [
 
 @query("comparative_pairs", with_stats(" UNION ALL ".join(COMPARATIVE_PARTS), **_COMPARED))
 def _(b):
-    return Q.comparative_pairs(b.summary).select(*PAIR_FIELDS)
+    return Q.comparative_pairs(b.kept).select(*PAIR_FIELDS)
 
 
 @query("size_pairs", with_stats(" UNION ALL ".join(SIZE_PARTS), **_COMPARED))
 def _(b):
-    return Q.size_pairs(b.summary).select(*PAIR_FIELDS)
+    return Q.size_pairs(b.kept).select(*PAIR_FIELDS)
 
 
 _STATIC = """
@@ -1129,7 +1129,7 @@ _CHECKED = {**_MADE, "claims": _CLAIMS, "changed": _CHANGED, "stated": _STATED}
 
 
 def _claims(b):
-    made = P.union_pairs(Q.network_pairs(b.summary), Q.agency_pairs(b.summary))
+    made = P.union_pairs(Q.network_pairs(b.kept), Q.agency_pairs(b.kept))
     wrong = F.when(F.col("feed_id") == "2", F.replace("response", F.lit("1"), F.lit("7")))
     return made.select(*PAIR_FIELDS).withColumn(
         "response", F.coalesce(wrong, F.col("response"))
@@ -1138,7 +1138,7 @@ def _claims(b):
 
 @query("stated_facts", with_stats("SELECT * FROM stated", **_CHECKED))
 def _(b):
-    return P.stated_facts(_claims(b), b.summary.feed_stats)
+    return P.stated_facts(_claims(b), b.kept.feed_stats)
 
 
 @query(
@@ -1152,7 +1152,7 @@ def _(b):
     ),
 )
 def _(b):
-    return P.check_facts(_claims(b), b.summary.feed_stats).select(
+    return P.check_facts(_claims(b), b.kept.feed_stats).select(
         "checks_performed", "checks_passed", "accuracy"
     )
 
@@ -1183,7 +1183,7 @@ def _(b):
     ),
 )
 def _(b):
-    stats = b.summary.feed_stats
+    stats = b.kept.feed_stats
     return validate_pairs(b.pairs, stats).report.select(
         "total_pairs", "train_size", "test_size", "all_checks_passed"
     )
@@ -1335,7 +1335,7 @@ for _name, _items in (
 
     @query(_name, with_stats(" UNION ALL ".join(_items), **_ITEM_VIEWS))
     def _(b, name=_name):
-        return getattr(B, name)(b.summary).select(*_ITEM_COLUMNS)
+        return getattr(B, name)(b.kept).select(*_ITEM_COLUMNS)
 
 
 def _numbered(items: list[str], stage: int) -> str:
@@ -1401,7 +1401,7 @@ _CONTEXT = """
 
 @query("feed_context", with_stats(_CONTEXT, lines20=_LINES_20))
 def _(b):
-    return B.feed_context(b.summary)
+    return B.feed_context(b.kept)
 
 
 @query(
@@ -1415,7 +1415,7 @@ def _(b):
     ),
 )
 def _(b):
-    return B.feed_prompt(B.feed_context(b.summary), "How many stops?").select("feed_id", "prompt")
+    return B.feed_prompt(B.feed_context(b.kept), "How many stops?").select("feed_id", "prompt")
 
 
 @query(
@@ -1433,7 +1433,7 @@ def _(b):
         FROM feed_stats f"""),
 )
 def _(b):
-    d = b.summary.nested()
+    d = b.kept.nested()
     return d.select(
         "feed_id",
         "provider",

@@ -195,6 +195,11 @@ class Bound:
     def summary(self) -> FeedSummary:
         return FeedSummary(self.tables, tie=TIE)
 
+    @cached_property
+    def kept(self) -> FeedSummary:
+        """The summary with route and feed statistics stored, for views that repeat them."""
+        return self.summary.stored("route_stats", "listed_routes", "feed_stats")
+
     @cached_property
     def raw_routes(self) -> DataFrame:
         """Routes as read from a feed: all text, other column order, extra columns."""

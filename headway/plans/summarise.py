@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, fields, replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -15,6 +15,12 @@ from headway.schema import FEED, POSITION
 from headway.session import materialise
 
 
+# what is kept by FeedSummary.stored, later ones read earlier ones
+STORED = (
+    "route_stats", "listed_routes", "feed_stats", "agency", "sample_stops", "sample_transfers",
+)
+
+
 @dataclass(frozen=True)
 class FeedTables:
     """Cleaned tables of all feeds; ``feeds`` has feed_id, provider, country_code."""
@@ -135,16 +141,17 @@ class FeedSummary:
             .withColumn("by_type", F.coalesce("by_type", empty))
         )
 
-    def stored(self) -> FeedSummary:
-        """The same with the tables every template reads computed once and kept.
+    def stored(self, *names: str) -> FeedSummary:
+        """The same with shared statistics computed once and kept.
 
-        They are the small results (a row per route, per feed, or a sample); the scans
-        of trips and stop times behind them then run once.
+        These are the small results (a row per route or feed, or a sample); the scans of
+        trips and stop times behind them then run once, however many views follow.
         """
-        for name in ("route_stats", "listed_routes", "feed_stats", "sample_stops",
-                     "sample_transfers", "agency"):
-            self.__dict__[name] = materialise(getattr(self, name))
-        return self
+        kept = replace(self)
+        for name in STORED:
+            if not names or name in names:
+                kept.__dict__[name] = materialise(getattr(kept, name))
+        return kept
 
     def nested(self) -> DataFrame:
         """One document per feed, the lists cut as listed in the summaries."""

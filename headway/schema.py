@@ -7,7 +7,15 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 FEED = "feed_id"
+
+# place of a row in its feed's file: part of the file, then row within the part
 POSITION = "_pos"
+# raw rows a cleaned row stands for, and values of theirs that did not fit their type
+COPIES, LOST = "_copies", "_lost"
+
+POSITION_TYPE = T.StructType(
+    [T.StructField("part", T.LongType()), T.StructField("row", T.LongType())]
+)
 
 # Column types of the GTFS reference, every other column is text.
 TYPED_COLUMNS = {

@@ -32,3 +32,10 @@ def materialise(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in any file system Spark can reach."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.exists(hadoop)
