@@ -106,22 +106,24 @@ class Bound:
     @cached_property
     def stop_times(self) -> DataFrame:
         # hours pass 24; those of closed lines are unpadded; some departures are blank
-        hour = "int(l_quantity) % 28"
-        minute = "lpad(string(int(floor(l_extendedprice)) % 60), 2, '0')"
-        padded = f"if(l_linestatus = 'O', lpad(string({hour}), 2, '0'), string({hour}))"
-        time = f"concat({padded}, ':', {minute}, ':00')"
-        return (
-            self.raw("lineitem")
-            .join(self.trips.select("feed_id", "_pos"), F.col("l_orderkey") == F.col("_pos"))
-            .selectExpr(
-                "feed_id",
-                "string(l_orderkey) as trip_id",
-                "l_linenumber as stop_sequence",
-                "string(l_suppkey) as stop_id",
-                f"{time} as arrival_time",
-                f"case when l_discount = 0 and l_returnflag = 'R' then null"
-                f" when l_discount = 0 then '' else {time} end as departure_time",
-            )
+        hour, minute = "int(l_quantity) % 28", "int(l_extendedprice) % 60"
+        times = self.raw("lineitem").selectExpr(
+            "l_orderkey",
+            "l_suppkey",
+            "l_linenumber",
+            f"concat(if(l_linestatus = 'O' and {hour} < 10, '0', ''), {hour},"
+            f" if({minute} < 10, ':0', ':'), {minute}, ':00') as time",
+            "case when l_discount = 0 then if(l_returnflag = 'R', 'none', 'blank') end as gap",
+        )
+        return times.join(
+            self.trips.select("feed_id", "_pos"), F.col("l_orderkey") == F.col("_pos")
+        ).selectExpr(
+            "feed_id",
+            "string(l_orderkey) as trip_id",
+            "l_linenumber as stop_sequence",
+            "string(l_suppkey) as stop_id",
+            "time as arrival_time",
+            "case when gap is null then time when gap = 'blank' then '' end as departure_time",
         )
 
     @cached_property

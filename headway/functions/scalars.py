@@ -52,28 +52,52 @@ NEXT_DAY_SHORT = " (+1)"
 UNKNOWN_ROUTE_TYPE = "Unknown (type {code})"
 
 
-def fill(pattern: str, **parts: Column) -> Column:
-    """Text with each ``{name}`` of the pattern replaced by the column of that name.
+def literal(text: str) -> str:
+    """A text as SQL."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n")
+    return f"'{escaped}'"
+
+
+def _formatted(name: str, how: str) -> str:
+    if how == ",":
+        shown = f"format_number(bigint({name}), 0)"
+    elif how.endswith("f"):
+        digits = int(how[1:-1])
+        shown = f"format_string('%.{digits}f', bround(double({name}), {digits}))"
+    else:
+        shown = {"": "string({})", "lower": "lower({})"}[how].format(name)
+    return f"coalesce({shown}, '')"
+
+
+def pattern_sql(pattern: str) -> str:
+    """SQL for a text with each ``{name}`` of the pattern replaced by that column.
 
     ``{n:,}`` shows thousands separators, ``{x:.4f}`` a fixed number of decimals,
-    ``{t:time}`` a time of day, ``{s:lower}`` lower case. NULL shows as nothing.
+    ``{s:lower}`` lower case. NULL shows as nothing. As SQL a long text is one
+    expression to build, not hundreds.
     """
-    pieces = []
+    pieces = ["''"]
     for text, name, how, _ in Formatter().parse(pattern):
         if text:
-            pieces.append(F.lit(text))
+            pieces.append(literal(text))
         if name:
-            shown = _formatted(parts[name] if name in parts else F.col(name), how)
-            pieces.append(F.coalesce(shown.cast("string"), F.lit("")))
-    return F.concat(*pieces) if pieces else F.lit("")
+            pieces.append(_formatted(name, how))
+    return f"concat({', '.join(pieces)})"
 
 
-def _formatted(value: Column, how: str) -> Column:
-    if how == ",":
-        return thousands(value)
-    if how.endswith("f"):
-        return fixed(value, int(how[1:-1]))
-    return {"": lambda c: c, "time": format_gtfs_time, "lower": F.lower}[how](value)
+def fill(pattern: str, **parts: Column) -> Column:
+    """The text of ``pattern_sql``, places named in ``parts`` taken from those columns."""
+    if not parts:
+        return F.expr(pattern_sql(pattern))
+    pieces = []
+    for text, name, how, _ in Formatter().parse(pattern):
+        if text:
+            pieces.append(F.lit(text))
+        if name in parts:
+            pieces.append(F.coalesce(parts[name].cast("string"), F.lit("")))
+        elif name:
+            pieces.append(F.expr(_formatted(name, how)))
+    return F.concat(*pieces)
 
 
 def blank(c: Column) -> Column:

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.functions.scalars import fill
+from headway.functions.scalars import literal, pattern_sql
 from headway.schema import FEED
 
 Part = str | tuple[str, str]
@@ -31,9 +31,6 @@ class Template:
     response: Sequence[Part] = field(default_factory=list)
     criteria: str | None = None
 
-    def answer(self) -> Column:
-        return compose(self.response)
-
 
 REGISTRY: dict[str, list[Template]] = {}
 
@@ -44,14 +41,15 @@ def register_template(template: Template) -> Template:
     return template
 
 
-def compose(parts: Sequence[Part]) -> Column:
+def compose(parts: Sequence[Part]) -> str:
+    """SQL for the parts of a text, put together."""
     pieces = [
-        fill(part)
+        pattern_sql(part)
         if isinstance(part, str)
-        else F.when(F.expr(part[0]), fill(part[1])).otherwise("")
+        else f"if({part[0]}, {pattern_sql(part[1])}, '')"
         for part in parts
     ]
-    return F.concat(*pieces)
+    return f"concat({', '.join(pieces)})"
 
 
 def _expand(view: DataFrame, templates: Sequence[Template], fields, stage: int) -> DataFrame:
@@ -60,23 +58,20 @@ def _expand(view: DataFrame, templates: Sequence[Template], fields, stage: int)
     The view has ``feed_id``, ``provider``, and ``item``, the order of its rows within
     the feed. ``_order`` puts the texts of all views in generation order.
     """
-    made = [
-        F.when(
-            F.expr(t.guard),
-            F.struct(F.lit(i).alias("place"), *[c.alias(n) for n, c in fields(t).items()]),
-        )
-        for i, t in enumerate(templates)
-    ]
-    order = F.struct(
-        F.lit(stage).alias("stage"),
-        F.col(FEED).alias("feed"),
-        F.col("item").cast("string").alias("item"),
-        F.col("made.place").alias("place"),
-    )
+    made = []
+    for place, template in enumerate(templates):
+        texts = ", ".join(f"'{name}', {sql}" for name, sql in fields(template).items())
+        made.append(f"if({template.guard}, named_struct('place', {place}, {texts}), null)")
     kept = [c for c in (FEED, "provider") if c in view.columns]
-    exploded = view.select(*kept, "item", F.explode(F.array_compact(F.array(*made))).alias("made"))
-    names = list(fields(templates[0]))
-    return exploded.select(*[F.col(f"made.{n}") for n in names], *kept, order.alias(ORDER))
+    exploded = view.selectExpr(
+        *kept, "string(item) as item", f"explode(array_compact(array({', '.join(made)}))) as made"
+    )
+    return exploded.selectExpr(
+        *[f"made.{name}" for name in fields(templates[0])],
+        *kept,
+        f"named_struct('stage', {stage}, 'feed', {FEED}, 'item', item, 'place', made.place)"
+        f" as {ORDER}",
+    )
 
 
 def pairs_from(view: DataFrame, templates: Sequence[Template], stage: int = 0) -> DataFrame:
@@ -85,10 +80,10 @@ def pairs_from(view: DataFrame, templates: Sequence[Template], stage: int = 0) -
         view,
         templates,
         lambda t: {
-            "instruction": fill(t.instruction),
-            "response": t.answer(),
-            "category": F.lit(t.category),
-            "template_id": F.lit(t.label),
+            "instruction": pattern_sql(t.instruction),
+            "response": compose(t.response),
+            "category": literal(t.category),
+            "template_id": literal(t.label),
         },
         stage,
     )
@@ -100,11 +95,11 @@ def items_from(view: DataFrame, templates: Sequence[Template], stage: int = 0) -
         view,
         templates,
         lambda t: {
-            "question": fill(t.instruction),
-            "expected_answer": t.answer(),
-            "scoring_criteria": fill(t.criteria),
-            "difficulty": F.lit(t.label),
-            "category": F.lit(t.category),
+            "question": pattern_sql(t.instruction),
+            "expected_answer": compose(t.response),
+            "scoring_criteria": pattern_sql(t.criteria),
+            "difficulty": literal(t.label),
+            "category": literal(t.category),
         },
         stage,
     ).drop("provider")

@@ -11,6 +11,7 @@ from headway.functions.scalars import (
     display_name,
     fill,
     fixed,
+    format_gtfs_time,
     full_name,
     modes_list,
     modes_text,
@@ -86,9 +87,16 @@ def _described(routes: DataFrame, s: FeedSummary) -> DataFrame:
         )
         .withColumn("mode", F.coalesce(route_type_name(F.col("route_type")), F.lit(W.NO_MODE)))
         .withColumn("destinations", F.array_join(F.slice("headsigns", 1, 3), ", "))
+        .withColumns(_times_shown())
     )
 
 
+def _times_shown() -> dict[str, Column]:
+    return {
+        f"{end}_shown": format_gtfs_time(F.col(f"{end}_departure")) for end in ("first", "last")
+    }
+
+
 def route_view(s: FeedSummary) -> DataFrame:
     """The routes picked for questions."""
     picked = R.pick_routes(s.listed_routes, ROUTES_PER_FEED, s.seed)
@@ -289,6 +297,7 @@ def timetable_view(s: FeedSummary) -> DataFrame:
         .withColumn("name", F.col("route_short_name"))
         .withColumn("span", service_span(first, last))
         .withColumn("span_hours", F.expr("span div 60"))
+        .withColumns(_times_shown())
         .withColumn("headway", avg_headway(first, last, F.col("trip_count")))
         .withColumn("item", F.lit(""))
     )

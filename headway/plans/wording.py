@@ -86,8 +86,8 @@ SCHEDULE = [
         guard="name <> '' and first_departure <> '' and last_departure <> ''",
         instruction="What are the first and last departure times for route {name} by {provider}?",
         response=[
-            "Route {name} by {provider} has its first departure at {first_departure:time}"
-            " and its last departure at {last_departure:time}."
+            "Route {name} by {provider} has its first departure at {first_shown}"
+            " and its last departure at {last_shown}."
         ],
     ),
     Template(
@@ -98,7 +98,7 @@ SCHEDULE = [
             "Route {name} by {provider} runs {trip_count:,} trips serving {stop_count} stops.",
             (
                 "first_departure <> '' and last_departure <> ''",
-                " Service starts at {first_departure:time} and ends at {last_departure:time}.",
+                " Service starts at {first_shown} and ends at {last_shown}.",
             ),
         ],
     ),
@@ -426,8 +426,8 @@ SCHEDULE_REASONING = [
         guard="true",
         instruction="What are the operating hours for route {name} by {provider}?",
         response=[
-            "Route {name} by {provider} starts service at {first_departure:time} and ends at"
-            " {last_departure:time}."
+            "Route {name} by {provider} starts service at {first_shown} and ends at"
+            " {last_shown}."
         ],
         criteria="Must mention first departure ~{first_departure} and last departure"
         " ~{last_departure}",
