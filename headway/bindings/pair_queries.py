@@ -1569,6 +1569,24 @@ def _(b):
     return _two_reports(b).categories
 
 
+@query(
+    "compare_many",
+    _two("""
+        SELECT coalesce(a.category, b.category) AS category, coalesce(a.combined_avg, 0) AS one,
+               coalesce(b.combined_avg, 0) AS two, coalesce(a.combined_avg, 0) AS three,
+               round(coalesce(a.combined_avg, 0) - coalesce(b.combined_avg, 0), 4) AS delta,
+               CASE WHEN coalesce(a.combined_avg, 0) > coalesce(b.combined_avg, 0) THEN '+'
+                    ELSE '' END AS sign
+        FROM (SELECT * FROM r1 WHERE level = 'category') a
+        FULL JOIN (SELECT * FROM r2 WHERE level = 'category') b ON a.category = b.category"""),
+)
+def _(b):
+    first = _with_combined(b.scored)
+    second = first.where("category <> 'error'").withColumn("combined", F.col("combined") * 0.9)
+    one, two = S.score_report(first), S.score_report(second)
+    return S.compare_many({"one": one, "two": two, "three": one}, "two", "three")
+
+
 @query(
     "compare_overall",
     _two(" UNION ALL ".join(

@@ -148,6 +148,15 @@ def _(b):
     return C.catalog_stats(b.catalog).withColumn("top_countries", F.array_join(shown, "|"))
 
 
+@query(
+    "value_counts",
+    with_views("""
+        SELECT status, count(*) AS feeds FROM catalog WHERE status IS NOT NULL GROUP BY 1"""),
+)
+def _(b):
+    return C.value_counts(b.catalog, "status")
+
+
 # --- cleaning ------------------------------------------------------------------------
 
 _CANONICAL = """

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from headway.operators.single import beside
+
 # Agencies looked for (search term, country, size, reason).
 TARGETS = (
     ("Los Angeles County Metropolitan", "US", "large", "LA Metro — major US transit system"),
@@ -151,17 +153,21 @@ def catalog_totals(catalog: DataFrame) -> DataFrame:
     )
 
 
-def top_countries(catalog: DataFrame, n: int = 20) -> DataFrame:
-    """The countries with the most feeds; equal counts go by country code."""
+def value_counts(catalog: DataFrame, column: str) -> DataFrame:
+    """Feeds per value of a column such as ``status``, the most frequent first."""
     return (
-        catalog.where("country_code is not null")
-        .groupBy("country_code")
+        catalog.where(F.col(column).isNotNull())
+        .groupBy(column)
         .agg(F.count(F.lit(1)).alias("feeds"))
-        .orderBy(F.desc("feeds"), "country_code")
-        .limit(n)
+        .orderBy(F.desc("feeds"), column)
     )
 
 
+def top_countries(catalog: DataFrame, n: int = 20) -> DataFrame:
+    """The countries with the most feeds; equal counts go by country code."""
+    return value_counts(catalog, "country_code").limit(n)
+
+
 def catalog_stats(catalog: DataFrame, n: int = 20) -> DataFrame:
     """One row: totals and the top countries as a list."""
     top = top_countries(catalog, n).agg(
@@ -170,5 +176,4 @@ def catalog_stats(catalog: DataFrame, n: int = 20) -> DataFrame:
         ).alias("top")
     )
     listed = F.transform("top", lambda x: F.struct(x["country_code"], x["feeds"]))
-    # one row on either side
-    return catalog_totals(catalog).join(top).withColumn("top_countries", listed).drop("top")
+    return beside(catalog_totals(catalog), top).withColumn("top_countries", listed).drop("top")

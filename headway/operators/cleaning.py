@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.functions.scalars import number, whole_number
+from headway.operators.single import beside
 from headway.schema import FEED, POSITION, TABLES, TableSpec
 
 
@@ -134,5 +135,4 @@ def cleaning_report(stats: DataFrame, feeds: DataFrame) -> DataFrame:
         F.count_if("success").alias("successful"),
         F.count_if(~F.col("success")).alias("failed"),
     )
-    # one row on either side
-    return success.join(rows)
+    return beside(success, rows)

@@ -12,6 +12,7 @@ from headway.functions.scalars import clip
 from headway.functions.texts import claimed_count
 from headway.operators.cleaning import keep_first
 from headway.operators.ranking import first_n
+from headway.operators.single import beside
 from headway.schema import FEED, PAIR_FIELDS
 
 MIN_RESPONSE_LENGTH = 20
@@ -58,7 +59,7 @@ def check_duplicates(pairs: DataFrame, order: Sequence[str]) -> DataFrame:
     samples = duplicate_samples(pairs, order).agg(
         F.array_sort(F.collect_list(F.struct(*order, "sample"))).alias("s")
     )
-    return duplicate_count(pairs).join(samples).select(
+    return beside(duplicate_count(pairs), samples).select(
         F.lit("duplicates").alias("check"),
         (F.col("duplicate_count") == 0).alias("passed"),
         "duplicate_count",
@@ -107,14 +108,14 @@ def issue_list(issues: DataFrame, record: str, n: int = SHOWN_ISSUES) -> DataFra
     first = issues.orderBy(record, "place").limit(n).agg(
         F.array_sort(F.collect_list(F.struct(record, "place", "issue"))).alias("i")
     )
-    return issues.agg(F.count(F.lit(1)).alias("issues_count")).join(first).select(
+    return beside(issues.agg(F.count(F.lit(1)).alias("issues_count")), first).select(
         "issues_count", F.transform("i", lambda x: x["issue"]).alias("issues")
     )
 
 
 def check_content(pairs: DataFrame, record: str) -> DataFrame:
     found = issue_list(content_issues(pairs, record), record)
-    return found.join(text_length_stats(pairs)).select(
+    return beside(found, text_length_stats(pairs)).select(
         F.lit("content_quality").alias("check"),
         (F.col("issues_count") == 0).alias("passed"),
         "*",
@@ -143,7 +144,7 @@ def check_format(lines: DataFrame, record: str, line: str = "value") -> DataFram
         ).alias("issue"),
     )
     total = checked.agg(F.count(F.lit(1)).alias("total_records"))
-    return issue_list(issues, record).join(total).select(
+    return beside(issue_list(issues, record), total).select(
         F.lit("format").alias("check"),
         (F.col("issues_count") == 0).alias("passed"),
         "total_records",
@@ -178,19 +179,12 @@ def pair_distribution(pairs: DataFrame) -> DataFrame:
         F.coalesce("category", FEED, "template_id", F.lit("")).alias("value"),
         "n",
     )
-    total = rows.where("dimension = 'all'").select(F.col("n").alias("_total"))
-    # one total row
-    return (
-        rows.join(total)
-        .where("not (dimension = 'feed' and value = '')")
-        .select(
-            "dimension",
-            "value",
-            "n",
-            F.when(
-                F.col("dimension") == "category", F.round(F.col("n") / F.col("_total") * 100, 1)
-            ).alias("percent"),
-        )
+    share = F.try_divide(F.col("n"), pairs.agg(F.count(F.lit(1))).scalar())
+    return rows.where("not (dimension = 'feed' and value = '')").select(
+        "dimension",
+        "value",
+        "n",
+        F.when(F.col("dimension") == "category", F.round(share * 100, 1)).alias("percent"),
     )
 
 
@@ -280,7 +274,7 @@ def check_facts(
         F.count_if(F.col("found") == F.col("expected")).alias("checks_passed"),
     )
     share = F.try_divide(F.col("checks_passed"), F.col("checks_performed")) * 100
-    return summed.join(shown).select(
+    return beside(summed, shown).select(
         F.lit("factual_accuracy").alias("check"),
         (F.col("checks_performed") == F.col("checks_passed")).alias("passed"),
         "checks_performed",
@@ -312,4 +306,4 @@ def validation_report(
             F.array_sort(F.collect_list(F.struct("place", "check"))), lambda x: x["check"]
         ).alias("checks"),
     )
-    return sizes.join(listed).withColumn("split_ratio", F.lit(split_ratio))
+    return beside(sizes, listed).withColumn("split_ratio", F.lit(split_ratio))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.functions.texts import (
@@ -79,6 +81,33 @@ def compare_reports(base: DataFrame, candidate: DataFrame) -> DataFrame:
     return _with_delta(joined, "category")
 
 
+def compare_many(
+    reports: dict[str, DataFrame], start: str, end: str, level: str = "category"
+) -> DataFrame:
+    """Combined score per category in several reports, one column each.
+
+    ``delta`` is the change from one of the reports to another; a missing category
+    counts as 0.
+    """
+    rows = [
+        report.where(F.col("level") == level).select(
+            level, "combined_avg", F.lit(name).alias("run")
+        )
+        for name, report in reports.items()
+    ]
+    wide = (
+        reduce(DataFrame.unionByName, rows)
+        .groupBy(level)
+        .pivot("run", list(reports))
+        .agg(F.max("combined_avg"))
+        .fillna(0.0, list(reports))
+    )
+    delta = F.round(F.col(end) - F.col(start), 4)
+    return wide.withColumn("delta", delta).withColumn(
+        "sign", F.when(delta > 0, "+").otherwise("")
+    )
+
+
 def compare_overall(base: DataFrame, candidate: DataFrame) -> DataFrame:
     """The four overall scores of two reports."""
 

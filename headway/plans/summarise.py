@@ -20,6 +20,8 @@ STORED = (
     "route_stats", "listed_routes", "feed_stats", "agency", "sample_stops", "sample_transfers",
 )
 
+SQL_NAMES = {"agency": "agency_summary"}
+
 
 @dataclass(frozen=True)
 class FeedTables:
@@ -38,6 +40,11 @@ class FeedTables:
     def as_dict(self) -> dict[str, DataFrame]:
         return {f.name: getattr(self, f.name) for f in fields(self)}
 
+    def register(self) -> None:
+        """Makes the tables known to Spark SQL under their names."""
+        for name, table in self.as_dict().items():
+            table.createOrReplaceTempView(name)
+
 
 @dataclass(frozen=True)
 class FeedSummary:
@@ -153,6 +160,12 @@ class FeedSummary:
                 kept.__dict__[name] = materialise(getattr(kept, name))
         return kept
 
+    def register(self) -> None:
+        """Makes the statistics known to Spark SQL, beside the tables."""
+        self.tables.register()
+        for name in STORED:
+            getattr(self, name).createOrReplaceTempView(SQL_NAMES.get(name, name))
+
     def nested(self) -> DataFrame:
         """One document per feed, the lists cut as listed in the summaries."""
 

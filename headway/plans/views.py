@@ -22,6 +22,7 @@ from headway.functions.scalars import (
 from headway.operators import ranking as R
 from headway.operators import summaries as S
 from headway.operators.schedules import early_routes, late_routes, scheduled_routes
+from headway.operators.single import beside
 from headway.plans import wording as W
 from headway.plans.summarise import FeedSummary
 from headway.schema import FEED, POSITION
@@ -243,8 +244,7 @@ def extremes_view(s: FeedSummary) -> DataFrame:
     last = R.last_feed(s.feed_stats, "total_trips").select(
         F.col("provider").alias("last_provider"), F.col("total_trips").alias("last_total")
     )
-    # one row on either side
-    return first.join(last)
+    return beside(first, last)
 
 
 def diverse_view(s: FeedSummary) -> DataFrame:

@@ -8,6 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
+# Settings for large clusters, for the session builder. Exchanges start with many small
+# partitions that adaptive execution merges to the advised size, splits where a key is
+# hot, and turns into broadcasts where a side proves to be small.
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
+    "spark.sql.session.timeZone": "UTC",
+}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by the cluster.

@@ -179,7 +179,7 @@ def summary(spark, cleaned):
         [("0029", "Alpha", "FR"), ("b", "Beta", "BE"), ("dates", "", "FR")],
         "feed_id string, provider string, country_code string",
     )
-    tables = load_tables(spark, cleaned[2], feeds=feeds, ids=feeds)
+    tables = load_tables(spark, cleaned[2], feeds=feeds, feed_ids=["0029", "b", "dates"])
     return FeedSummary(tables).stored()
 
 

@@ -21,9 +21,11 @@ def con():
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query(spark, con, name):
     df = queries()[name](spark, FOLDER)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     if name in oracle_sql():
         found = difference(con, oracle_sql()[name], df)
-        assert found is None or found == "both empty" , found
+        assert found is None or found == "both empty", found
     else:
         assert df.count() > 0
 
