@@ -1394,8 +1394,8 @@ _CONTEXT = """
            || format('{:.1f}', avg_stops_per_route) || ' stops/route, avg '
            || format('{:.1f}', avg_trips_per_route) || ' trips/route' AS context
     FROM feed_stats f JOIN lines20 USING (feed_id)
-    JOIN (SELECT feed_id, arg_min(agency_name, agency_id) AS agency_name,
-                 arg_min(coalesce(agency_timezone, ''), agency_id) AS agency_timezone
+    JOIN (SELECT feed_id, arg_min(agency_name, _pos) AS agency_name,
+                 arg_min(coalesce(agency_timezone, ''), _pos) AS agency_timezone
           FROM agency GROUP BY 1) a USING (feed_id)"""
 
 

@@ -19,6 +19,7 @@ from headway.operators import summaries as M
 from headway.schema import TABLES
 from headway.session import shared_folder
 from headway.sources import lake
+from headway.sources.catalog import read_catalog
 
 
 def text(c: str):
@@ -32,6 +33,22 @@ USABLE = """data_type = 'gtfs' AND status IS DISTINCT FROM 'inactive'
     AND direct_download <> '' AND coalesce(authentication_type, 0) = 0"""
 
 
+@query(
+    "catalog_round_trip",
+    with_views("""
+        SELECT mdb_source_id, provider, status, country_code,
+               nullif(direct_download, '') AS direct_download FROM catalog"""),
+)
+def _(b):
+    folder = f"{shared_folder(b.spark)}/catalog-{uuid.uuid4().hex}"
+    dotted = {"country_code": "location.country_code", "direct_download": "urls.direct_download"}
+    named = b.catalog.withColumnsRenamed(dotted)
+    named.write.option("header", "true").csv(folder)
+    return read_catalog(b.spark, folder).select(
+        "mdb_source_id", "provider", "status", "country_code", "direct_download"
+    )
+
+
 @query("usable_feeds", with_views(f"SELECT mdb_source_id, status FROM catalog WHERE {USABLE}"))
 def _(b):
     return C.usable_feeds(b.catalog).select("mdb_source_id", "status")
@@ -516,7 +533,7 @@ def _(b):
                coalesce(agency_timezone, '') AS agency_timezone FROM agency"""),
 )
 def _(b):
-    return M.agency_summary(b.agency)
+    return M.agency_summary(b.agency).drop("_pos")
 
 
 @query(

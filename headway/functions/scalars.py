@@ -100,6 +100,18 @@ def fill(pattern: str, **parts: Column) -> Column:
     return F.concat(*pieces)
 
 
+# All characters that count as blank at the ends of a text.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
+def stripped(c: Column) -> Column:
+    """Text without blanks of any kind around it."""
+    return F.btrim(c, F.lit(WHITESPACE))
+
+
 def blank(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 

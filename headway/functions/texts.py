@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from headway.functions.scalars import fill
+from headway.functions.scalars import fill, stripped
 
 # Patterns of the scoring rules. Java needs (?U) for Unicode classes.
 NUMBER_PATTERN = r"(?U)(\b\d[\d,]*\.?\d*\b)"
@@ -17,7 +17,6 @@ DEMAND_PATTERN = rf"(?iU)^Must\s+(?:{DEMAND_VERBS})\s*:?\s*"
 AT_LEAST_PATTERN = r"(?iU)at least (\d+) of:?\s*"
 TERM_BREAK = r"(?U),\s*|\s+and\s+|\s+or\s+"
 TOKEN_BREAK = r"[^a-z0-9]+"
-WHITESPACE = " \t\n\r\x0b\x0c"
 
 # Fixed value: weights of ROUGE-L, keyword and criteria scores.
 SCORE_WEIGHTS = (0.4, 0.3, 0.3)
@@ -63,7 +62,7 @@ def criteria_terms(criteria: Column) -> Column:
     demands = _demands(criteria)
     # what follows the first "at least N of"; the whole text where there is none
     phrases = F.regexp_replace(demands, r"(?s)^.*?" + AT_LEAST_PATTERN, "")
-    pieces = F.transform(F.split(phrases, TERM_BREAK), lambda p: F.btrim(p, F.lit(WHITESPACE)))
+    pieces = F.transform(F.split(phrases, TERM_BREAK), stripped)
     kept = F.filter(pieces, lambda p: F.length(p) > 1)
     return F.transform(kept, lambda p: F.btrim(p, F.lit("()")))
 

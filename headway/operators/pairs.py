@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.functions.scalars import clip
+from headway.functions.scalars import clip, stripped
 from headway.functions.texts import claimed_count
 from headway.operators.cleaning import keep_first
 from headway.operators.ranking import first_n
@@ -75,14 +75,14 @@ def content_issues(pairs: DataFrame, record: str) -> DataFrame:
     def issue(test: Column, text: Column) -> Column:
         return F.when(test, F.concat(F.lit("Record "), number, F.lit(": "), text))
 
-    empty_answer = F.trim(answer) == ""
+    empty_answer = stripped(answer) == ""
     too_short = ~empty_answer & (F.length(answer) < MIN_RESPONSE_LENGTH)
     short_text = F.concat(
         F.lit("response too short ("), F.length(answer).cast("string"), F.lit(" chars)")
     )
     found = F.array_compact(
         F.array(
-            issue(F.trim(question) == "", F.lit("empty instruction")),
+            issue(stripped(question) == "", F.lit("empty instruction")),
             issue(empty_answer, F.lit("empty response")),
             issue(too_short, short_text),
         )

@@ -331,8 +331,6 @@ def repeat_rows(df: DataFrame, copies: str, chunk: int = 100_000) -> DataFrame:
     """
     columns = [c for c in df.columns if c != copies]
     chunks = df.withColumn("_chunk", F.explode(F.expr(f"sequence(0, ({copies} - 1) div {chunk})")))
-    spread = chunks.hint("rebalance") if chunk else chunks
     left = F.least(F.lit(chunk).cast("bigint"), F.col(copies) - F.col("_chunk") * chunk)
-    return spread.select(*columns, F.explode(F.sequence(F.lit(1).cast("bigint"), left))).select(
-        *columns
-    )
+    each = F.explode(F.sequence(F.lit(1).cast("bigint"), left))
+    return chunks.hint("rebalance").select(*columns, each.alias("_n")).drop("_n")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.functions.scalars import gtfs_seconds
+from headway.functions.scalars import gtfs_seconds, stripped
 from headway.operators.ranking import first_n
 from headway.schema import FEED, POSITION
 
@@ -50,7 +50,7 @@ def route_departures(
         stop_times.where("trip_id is not null and stop_sequence is not null")
         .groupBy(FEED, "trip_id")
         .agg(F.min_by("departure_time", F.struct("stop_sequence", *tie)).alias("departure"))
-        .where("trim(departure) <> ''")
+        .where(stripped(F.col("departure")) != "")
     )
     departures = stop_times_with_route(starts, trips)
     if order == "seconds":

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from headway.functions.scalars import stripped
 from headway.functions.texts import (
     SCORE_WEIGHTS,
     combined_score,
@@ -150,7 +151,7 @@ def answer_lookup(
         answers.withColumn("_key", F.lower("question")), ["_key"], order
     ).select("_key", "answer")
     return (
-        questions.withColumn("_key", F.lower(F.trim("question")))
+        questions.withColumn("_key", F.lower(stripped(F.col("question"))))
         .join(known, "_key", "left")
         .withColumn("answer", F.coalesce("answer", F.lit(otherwise)))
         .drop("_key")

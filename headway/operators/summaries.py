@@ -12,6 +12,8 @@ from headway.schema import FEED, POSITION
 WEEKDAYS = ("monday", "tuesday", "wednesday", "thursday", "friday")
 WEEKEND = ("saturday", "sunday")
 
+AGENCY_COLUMNS = ("agency_id", "agency_name", "agency_url", "agency_timezone")
+
 # Rows listed in a feed summary.
 LISTED_ROUTES = 50
 LISTED_STATIONS = 50
@@ -27,10 +29,9 @@ def _blank_text(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def agency_summary(agency: DataFrame) -> DataFrame:
-    """Agencies as listed in a summary, NULL text as blank."""
-    return _blank_text(
-        agency, [FEED, "agency_id", "agency_name", "agency_url", "agency_timezone"]
-    )
+    """Agencies as listed in a summary, NULL text as blank, with their file position."""
+    carried = [POSITION] if POSITION in agency.columns else []
+    return _blank_text(agency, [FEED, *AGENCY_COLUMNS, *carried])
 
 
 def route_summary(routes: DataFrame) -> DataFrame:

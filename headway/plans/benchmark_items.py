@@ -56,7 +56,7 @@ def feed_context(s: FeedSummary) -> DataFrame:
         return F.coalesce(coded(F.col("route_type"), ROUTE_TYPES), F.lit(W.UNSHOWN_MODE))
 
     first_agency = s.agency.groupBy(FEED).agg(
-        F.min_by(F.struct("agency_name", "agency_timezone"), "agency_id").alias("agency")
+        F.min_by(F.struct("agency_name", "agency_timezone"), POSITION).alias("agency")
     )
     shown = first_n(s.listed_routes, W.CONTEXT_LISTED_ROUTES, [FEED], [POSITION])
     shown = shown.withColumn("mode", route_mode()).withColumn(

@@ -188,7 +188,7 @@ class FeedSummary:
             S.stops_by_location_type(self.tables.stops), "location_type", "by_location_type"
         )
         parts = (
-            listed(self.agency, "agency_id", "agency", self.agency.columns[1:]),
+            listed(self.agency, POSITION, "agency", list(S.AGENCY_COLUMNS)),
             listed(routes, POSITION, "routes", [
                 "route_id", "route_short_name", "route_long_name", "route_type", "agency_id",
                 "trip_count", "stop_count", "first_departure", "last_departure", "headsigns",

@@ -262,3 +262,10 @@ def test_fill(spark):
     df = spark.createDataFrame([(1234, None, "AB")], "n int, x string, s string")
     (r,) = df.select(fill("{n:,}|{x}|{s:lower}|{{}}|{y}", y=F.lit(2)).alias("t")).collect()
     assert r.t == "1,234||ab|{}|2"
+
+
+def test_blank_texts_of_any_kind(spark):
+    df = spark.createDataFrame([(1, "\n\t", " \r\n")], "record int, instruction string, response string")
+    assert [r.issue for r in P.content_issues(df, "record").collect()] == [
+        "Record 1: empty instruction", "Record 1: empty response"
+    ]
