@@ -840,7 +840,8 @@ for _name, _parts in PARTS.items():
 
     @query(_name, with_stats(" UNION ALL ".join(_parts), **_MADE))
     def _(b, name=_name):
-        return getattr(Q, name)(b.summary).select(*PAIR_FIELDS)
+        summary = b.listed if name.startswith("route") else b.summary
+        return getattr(Q, name)(summary).select(*PAIR_FIELDS)
 
 
 _JOURNEY = {

@@ -740,7 +740,7 @@ _PICKED = {
     "pick_routes", with_stats("SELECT feed_id, route_id, pick FROM picked", **_PICKED)
 )
 def _(b):
-    return R.pick_routes(b.summary.listed_routes).select("feed_id", "route_id", "pick")
+    return R.pick_routes(b.listed.listed_routes).select("feed_id", "route_id", "pick")
 
 
 for _metric in ("total_routes", "total_stops", "total_trips"):
@@ -773,7 +773,7 @@ for _name, _metric in (("busiest_route", "trip_count"), ("most_stops_route", "st
                 {O.first_n('route_stats', 1, 'feed_id', f'{_metric} DESC, _pos')})"""),
     )
     def _(b, metric=_metric):
-        return R.best_route(b.summary.route_stats, metric).select("feed_id", "route_id", metric)
+        return R.best_route(b.listed.route_stats, metric).select("feed_id", "route_id", metric)
 
 
 _ONE = f"""

@@ -197,6 +197,11 @@ class Bound:
     def summary(self) -> FeedSummary:
         return FeedSummary(self.tables, tie=TIE)
 
+    @cached_property
+    def listed(self) -> FeedSummary:
+        """The summary with route statistics stored, for views that read them twice."""
+        return self.summary.stored("route_stats", "listed_routes")
+
     @cached_property
     def kept(self) -> FeedSummary:
         """The summary with route and feed statistics stored, for views that repeat them."""

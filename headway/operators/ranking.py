@@ -78,7 +78,8 @@ def pick_routes(
     """Routes with trips: the n // 2 busiest of a feed, then random others up to n.
 
     Ranked in ``pick``. Both candidate lists are cut to n rows per feed and task before
-    they meet: the n least hashes always hold enough routes outside the busiest.
+    they meet: the n least hashes always hold enough routes outside the busiest. The
+    routes are read twice, so give a stored table.
     """
     top = n // 2
     running = route_stats.where("trip_count > 0").withColumn("_hash", seeded(["route_id"], seed))
