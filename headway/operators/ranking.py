@@ -260,11 +260,13 @@ def stratified_split(
         key = columns
     else:
         rows = pairs.withColumn("_copies", F.lit(1).cast("bigint"))
+    # texts of several columns can be equal where the rows are not, see ``seeded``
+    told_apart = F.to_json(F.struct(*key)) if len(key) > 1 else F.lit("")
     hashed = (
         rows.withColumn("_stratum", stratum)
         .withColumn("_hash", seeded(key, seed))
         .withColumn("_slot", F.substring("_hash", 1, SLOT_DIGITS))
-        .withColumn("_key", F.to_json(F.struct(*key)))
+        .withColumn("_key", told_apart)
     )
 
     per_stratum = Window.partitionBy("_stratum")
