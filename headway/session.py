@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
@@ -25,16 +23,15 @@ CLUSTER_SETTINGS = {
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by the cluster.
 
-    A local folder is taken only where the setting is absent and the session runs on
-    this machine alone (tests, local benchmarks).
+    Where the setting is absent, a folder below the warehouse path is taken, which all
+    executors share as well.
     """
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"{CHECKPOINT_SETTING} must name a shared folder on a cluster")
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="headway-"))
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        spark.sparkContext.setCheckpointDir(f"{warehouse}/_checkpoints")
     return spark.sparkContext.getCheckpointDir()
 
 
