@@ -10,7 +10,9 @@ of groups that share a prefix shingle are verified on their first members; then
 expanded and the members not yet connected are verified. A long list of a shingle is first
 compared with one member per round (its pivot), and pairs already connected are skipped, so
 a group of n near copies takes about n comparisons instead of n * n / 2; whatever is still
-unconnected at the end is compared pair by pair. No list is cut.
+unconnected at the end is compared pair by pair. No list is cut. Each text carries a parity
+bit map of its set: the bits in which two maps differ are no more than the shingles in which
+the sets differ, so a pair whose maps differ too much is dropped inside the join.
 
 Shuffled: 16 bytes per counted shingle, and for the few remaining texts their sets.
 """
@@ -30,7 +32,9 @@ from headway.llm.common import (
 
 COUNTED = 3  # every third shingle is counted
 SHORT_LIST = 32  # lists up to this length are compared pair by pair at once
-PIVOT_ROUNDS = 4
+PIVOT_ROUNDS = 2
+MAP = 8  # longs of a parity bit map
+BITS = [f"b{i}" for i in range(MAP)]
 FLUSH = 1 << 20  # shingles held by a task before it writes them out
 UNCOUNTED = 1 << 40  # stands behind every real count
 
@@ -67,7 +71,7 @@ def _entries(words: int, percent: int, buckets: int):
                     [
                         pa.array([p[0] for p in part], pa.int32()),
                         pa.array([p[1] for p in part], pa.binary()),
-                        *[pa.nulls(len(part), pa.int64()) for _ in range(6)],
+                        *[pa.nulls(len(part), pa.int64()) for _ in range(6 + MAP)],
                     ],
                     names=NAMES,
                 )
@@ -80,6 +84,7 @@ def _entries(words: int, percent: int, buckets: int):
                 prefix = np.where(sizes > 0, sizes - needed(sizes, percent) + 1, 0)
                 counted = np.zeros(len(sets), np.int64)
                 sums, signs = np.zeros(len(sets), np.int64), np.zeros(len(sets), np.int64)
+                maps = np.zeros((len(sets), MAP), np.int64)
                 for i, s in enumerate(sets):
                     if not len(s):
                         continue
@@ -92,6 +97,8 @@ def _entries(words: int, percent: int, buckets: int):
                     keys.append(np.full(len(chosen), own[i]))
                     held += len(chosen)
                     sums[i] = np.add.reduce(s).astype(np.int64)
+                    odd = np.bincount((s >> U64(20)) % U64(64 * MAP), minlength=64 * MAP) & 1
+                    maps[i] = np.packbits(odd.astype(bool)).view(np.int64)
                     signs[i] = np.bitwise_xor.reduce(s * U64(0x9E3779B97F4A7C15)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -100,6 +107,7 @@ def _entries(words: int, percent: int, buckets: int):
                         pa.array(own),
                         column(piece, "doc_id").cast(pa.int64()),
                         pa.array(sizes), pa.array(counted), pa.array(sums), pa.array(signs),
+                        *[pa.array(np.ascontiguousarray(m)) for m in maps.T],
                     ],
                     names=NAMES,
                 )
@@ -110,19 +118,15 @@ def _entries(words: int, percent: int, buckets: int):
     return run
 
 
-NAMES = ["bucket", "entries", "key", "doc_id", "size", "counted", "sum", "sign"]
-ENTRY_SCHEMA = (
-    "bucket int, entries binary, key long, doc_id long, size long, counted long,"
-    " sum long, sign long"
-)
-SHARED_SCHEMA = (
-    "key long, doc_id long, size long, counted long, sum long, sign long, count long, hash long"
-)
+NAMES = ["bucket", "entries", "key", "doc_id", "size", "counted", "sum", "sign", *BITS]
+ENTRY_SCHEMA = "bucket int, entries binary, " + ", ".join(f"{c} long" for c in NAMES[2:])
+SHARED_NAMES = [*NAMES[2:], "count", "hash"]
+SHARED_SCHEMA = ", ".join(f"{c} long" for c in SHARED_NAMES)
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows on texts pass; of the shingles in this partition those of two texts or more."""
-    names = ["key", "doc_id", "size", "counted", "sum", "sign", "count", "hash"]
+    names = SHARED_NAMES
     hashes, keys = [], []
     for batch in batches:
         blobs = column(batch, "entries")
@@ -130,7 +134,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if plain.num_rows:
             n = plain.num_rows
             yield pa.RecordBatch.from_arrays(
-                [*[column(plain, c) for c in names[:6]], *[pa.nulls(n, pa.int64())] * 2], names=names
+                [*[column(plain, c) for c in names[:-2]], *[pa.nulls(n, pa.int64())] * 2], names=names
             )
         for blob in blobs.drop_null():
             both = np.frombuffer(blob.as_buffer(), U64)
@@ -160,7 +164,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = len(h[part])
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(k[part]), *[pa.nulls(n, pa.int64())] * 5,
+                pa.array(k[part]), *[pa.nulls(n, pa.int64())] * (len(names) - 3),
                 pa.array(count[part]), pa.array(h[part].view(np.int64)),
             ],
             names=names,
@@ -184,13 +188,14 @@ def profiles(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
         F.max("sign").alias("sign"),
         F.count("size").alias("copies"),
         F.sort_array(listed).alias("listed"),
+        *[F.max(b).alias(b) for b in BITS],
     )
     length = F.col("size") - F.ceil(F.col("size") * F.lit(percent) / 100) + 1
     known = F.size(F.filter("listed", lambda x: x["count"] < UNCOUNTED))
     alone = F.col("counted") - known  # counted shingles of no other text stand first
     open_ = F.greatest(length - alone, F.lit(0)).cast("int")
     return per_text.select(
-        "key", "doc_id", "size", "sum", "sign", "copies",
+        "key", "doc_id", "size", "sum", "sign", "copies", *BITS,
         F.transform(F.slice("listed", 1, open_), lambda x: x["hash"]).alias("prefix"),
         (alone > 0).alias("unique"),
     )
@@ -297,21 +302,21 @@ def similar_texts(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFra
     members = (
         filled.filter(F.size("prefix") > 0)
         .join(classes.filter("n > 1").select("size", "sum", "sign", "class"), ["size", "sum", "sign"], "left")
-        .select("key", "size", "prefix", "unique", F.coalesce("class", "key").alias("class"))
+        .select("key", "size", "prefix", "unique", *BITS, F.coalesce("class", "key").alias("class"))
     )
     members = stored(members, "members")
     units = members.filter(F.col("key") == F.col("class"))
     # one group per size and prefix; a prefix with a shingle of its own is nobody else's
     label = F.xxhash64("size", F.when(F.col("unique"), F.col("key")).otherwise(F.lit(0)), "prefix")
-    units = units.select(F.col("key").alias("unit"), "size", "prefix", label.alias("group"))
+    units = units.select(F.col("key").alias("unit"), "size", "prefix", *BITS, label.alias("group"))
     heads = units.groupBy("group").agg(F.min("unit").alias("head"), F.count(F.lit(1)).alias("in_group"))
     groups = units.join(heads.filter("in_group > 1"), "group", "left").select(
-        "unit", "size", "prefix", "group", F.coalesce("head", "unit").alias("head"),
+        "unit", "size", "prefix", "group", *BITS, F.coalesce("head", "unit").alias("head"),
         F.coalesce("in_group", F.lit(1)).alias("in_group"),
     )
     lists = stored(
         groups.select(
-            "unit", "size", F.expr("unit = head").alias("first"),
+            "unit", "size", *BITS, F.expr("unit = head").alias("first"),
             F.explode(
                 F.concat(
                     "prefix",
@@ -382,26 +387,32 @@ def _pairs(lists: DataFrame, turn: int, percent: int) -> DataFrame:
     neighbouring ones. Units already connected are not paired.
     """
     step = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100.0 / percent)))
-    rows = lists.select("token", "unit", "size", "root", step.cast("int").alias("step"))
+    rows = lists.select("token", "unit", "size", "root", *BITS, step.cast("int").alias("step"))
     stats = rows.groupBy("token").agg(
         F.count(F.lit(1)).alias("n"), F.min("root").alias("_low"), F.max("root").alias("_high")
     ).filter("n > 1 and _low != _high")
     last = turn == PIVOT_ROUNDS
     short = stats.filter(F.lit(True) if last else F.col("n") <= SHORT_LIST).select("token")
-    close = (100 * F.least("size", "size2") >= percent * F.greatest("size", "size2")) & (
-        F.col("root") != F.col("root2")
+    apart = sum((F.bit_count(F.col(b).bitwiseXOR(F.col(f"{b}_2"))) for b in BITS), F.lit(0))
+    both = F.col("size") + F.col("size2")
+    # sets that differ in d shingles have (both - d) / 2 in common and (both + d) / 2 in all
+    close = (
+        (100 * F.least("size", "size2") >= percent * F.greatest("size", "size2"))
+        & (F.col("root") != F.col("root2"))
+        & (apart * (100 + percent) <= both * (100 - percent))
     )
+    mirror = [F.col(b).alias(f"{b}_2") for b in BITS]
     own = rows.join(short, "token", "left_semi")
     other = own.select(
-        "token", F.col("unit").alias("unit2"), F.col("size").alias("size2"), F.col("root").alias("root2")
+        "token", F.col("unit").alias("unit2"), F.col("size").alias("size2"), F.col("root").alias("root2"), *mirror
     )
     found = own.join(other, "token").filter((F.col("unit") < F.col("unit2")) & close)
     if not last:
         long = rows.join(stats.filter(F.col("n") > SHORT_LIST).select("token"), "token", "left_semi")
         chance = F.xxhash64("unit", F.lit(turn))
         pivots = long.groupBy("token", "step").agg(
-            F.min(F.struct(chance.alias("c"), F.col("unit").alias("unit2"), F.col("size").alias("size2"), F.col("root").alias("root2"))).alias("p")
-        ).select("token", "step", "p.unit2", "p.size2", "p.root2")
+            F.min(F.struct(chance.alias("c"), F.col("unit").alias("unit2"), F.col("size").alias("size2"), F.col("root").alias("root2"), *mirror)).alias("p")
+        ).select("token", "step", "p.unit2", "p.size2", "p.root2", *[f"p.{b}_2" for b in BITS])
         near = long.withColumn("step", F.explode(F.array("step", F.col("step") - 1)))
         by_pivot = near.join(pivots, ["token", "step"]).filter(close)
         cols = ["unit", "unit2"]
