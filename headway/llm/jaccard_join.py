@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.llm.common import (
@@ -314,40 +314,48 @@ def similar_texts(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFra
         "unit", "size", "prefix", "group", *BITS, F.coalesce("head", "unit").alias("head"),
         F.coalesce("in_group", F.lit(1)).alias("in_group"),
     )
-    lists = stored(
-        groups.select(
-            "unit", "size", *BITS, F.expr("unit = head").alias("first"),
-            F.explode(
-                F.concat(
-                    "prefix",
-                    F.when(F.col("in_group") > 1, F.array("group")).otherwise(F.array().cast("array<bigint>")),
-                )
-            ).alias("token"),
-        ).withColumn("root", F.col("unit")),
-        "lists",
+    lists = groups.select(
+        "unit", "size", *BITS, F.expr("unit = head").alias("first"), F.col("unit").alias("root"),
+        F.explode(
+            F.concat(
+                "prefix",
+                F.when(F.col("in_group") > 1, F.array("group")).otherwise(F.array().cast("array<bigint>")),
+            )
+        ).alias("token"),
     )
-    several = lists.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("token")
-    lists = stored(lists.join(several, "token", "left_semi"), "lists")
+    counts = lists.groupBy("token").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(~F.col("first")).alias("others")
+    ).filter("n > 1")
+    lists = stored(lists.join(counts, "token"), "lists")
     sets = stored(
         _only(docs, lists.select(F.col("unit").alias("key")).distinct()).mapInArrow(
             _sets(words), "key long, shingles array<long>"
         ),
         "sets",
     )
-    links, tested = None, None
-    roots = None
+    links, tested, roots = None, None, None
+    # a short list of first members is done at once; the others are seen again
+    again = stored(lists.filter((F.col("n") > SHORT_LIST) | (F.col("others") > 0)), "again")
     for turn in range(PIVOT_ROUNDS + 1):
-        current = lists
-        if roots is not None:
-            current = lists.drop("root").join(
-                roots.withColumnRenamed("node", "unit"), "unit", "left"
-            ).withColumn("root", F.coalesce("root", "unit"))
         if turn == 0:
-            own = lists.join(heads.filter("in_group > 1").select(F.col("group").alias("token")), "token", "left_semi")
-            current = lists.filter("first").union(own.filter("not first").select(lists.columns)).union(
-                own.filter("first").select(lists.columns)
+            firsts = lists.filter("first")
+            pairs = _all_pairs(firsts.filter(F.col("n") <= SHORT_LIST), percent).union(
+                _pivot_pairs(firsts.filter(F.col("n") > SHORT_LIST), turn, percent)
             ).distinct()
-        pairs = _pairs(current, turn, percent)
+        else:
+            labels = roots.withColumnRenamed("node", "unit")
+            current = again.drop("root").join(labels, "unit", "left").withColumn(
+                "root", F.coalesce("root", "unit")
+            )
+            mixed_lists = current.groupBy("token").agg(F.min("root").alias("_low"), F.max("root").alias("_high"))
+            mixed_lists = mixed_lists.filter("_low != _high").select("token")
+            current = stored(current.join(mixed_lists, "token", "left_semi"), "open")
+            if turn == PIVOT_ROUNDS:
+                pairs = _all_pairs(current, percent).distinct()
+            else:
+                pairs = _all_pairs(current.filter(F.col("n") <= SHORT_LIST), percent).union(
+                    _pivot_pairs(current.filter(F.col("n") > SHORT_LIST), turn, percent)
+                ).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
@@ -379,45 +387,50 @@ def similar_texts(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFra
     return once.union(more.drop("copies", "_i"))
 
 
-def _pairs(lists: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Pairs to verify in this round: all of a short list (in the last round of any list),
-    of a long one each unit with the pivot of its own and of the next smaller size class.
-
-    Size classes are powers of 100 / percent, so similar sizes are in the same or in
-    neighbouring ones. Units already connected are not paired.
-    """
-    step = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100.0 / percent)))
-    rows = lists.select("token", "unit", "size", "root", *BITS, step.cast("int").alias("step"))
-    stats = rows.groupBy("token").agg(
-        F.count(F.lit(1)).alias("n"), F.min("root").alias("_low"), F.max("root").alias("_high")
-    ).filter("n > 1 and _low != _high")
-    last = turn == PIVOT_ROUNDS
-    short = stats.filter(F.lit(True) if last else F.col("n") <= SHORT_LIST).select("token")
+def _close(percent: int):
+    """Whether a pair of rows, the second with columns ending in 2, can be similar, and is not
+    connected already."""
     apart = sum((F.bit_count(F.col(b).bitwiseXOR(F.col(f"{b}_2"))) for b in BITS), F.lit(0))
-    both = F.col("size") + F.col("size2")
     # sets that differ in d shingles have (both - d) / 2 in common and (both + d) / 2 in all
-    close = (
+    return (
         (100 * F.least("size", "size2") >= percent * F.greatest("size", "size2"))
         & (F.col("root") != F.col("root2"))
-        & (apart * (100 + percent) <= both * (100 - percent))
-    )
-    mirror = [F.col(b).alias(f"{b}_2") for b in BITS]
-    own = rows.join(short, "token", "left_semi")
-    other = own.select(
-        "token", F.col("unit").alias("unit2"), F.col("size").alias("size2"), F.col("root").alias("root2"), *mirror
+        & (apart * (100 + percent) <= (F.col("size") + F.col("size2")) * (100 - percent))
     )
-    found = own.join(other, "token").filter((F.col("unit") < F.col("unit2")) & close)
-    if not last:
-        long = rows.join(stats.filter(F.col("n") > SHORT_LIST).select("token"), "token", "left_semi")
-        chance = F.xxhash64("unit", F.lit(turn))
-        pivots = long.groupBy("token", "step").agg(
-            F.min(F.struct(chance.alias("c"), F.col("unit").alias("unit2"), F.col("size").alias("size2"), F.col("root").alias("root2"), *mirror)).alias("p")
-        ).select("token", "step", "p.unit2", "p.size2", "p.root2", *[f"p.{b}_2" for b in BITS])
-        near = long.withColumn("step", F.explode(F.array("step", F.col("step") - 1)))
-        by_pivot = near.join(pivots, ["token", "step"]).filter(close)
-        cols = ["unit", "unit2"]
-        found = found.select(*cols).union(by_pivot.select(*cols))
-    return found.select(F.least("unit", "unit2").alias("a"), F.greatest("unit", "unit2").alias("b")).distinct()
+
+
+def _second() -> list:
+    return [
+        F.col("unit").alias("unit2"), F.col("size").alias("size2"), F.col("root").alias("root2"),
+        *[F.col(b).alias(f"{b}_2") for b in BITS],
+    ]
+
+
+def _ordered(found: DataFrame) -> DataFrame:
+    return found.select(F.least("unit", "unit2").alias("a"), F.greatest("unit", "unit2").alias("b"))
+
+
+def _all_pairs(lists: DataFrame, percent: int) -> DataFrame:
+    """Pairs within a list that can be similar."""
+    rows = lists.select("token", "unit", "size", "root", *BITS)
+    other = rows.select("token", *_second())
+    return _ordered(rows.join(other, "token").filter((F.col("unit") < F.col("unit2")) & _close(percent)))
+
+
+def _pivot_pairs(lists: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Each unit of a list with the pivot of its own and of the next smaller size class.
+
+    Size classes are powers of 100 / percent, so similar sizes are in the same or in
+    neighbouring ones. Every round has pivots of its own.
+    """
+    step = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
+    rows = lists.select("token", "unit", "size", "root", *BITS, step.alias("step"))
+    chance = F.xxhash64("unit", F.lit(turn))
+    pivots = rows.groupBy("token", "step").agg(
+        F.min(F.struct(chance.alias("c"), *_second())).alias("p")
+    ).select("token", "step", "p.*").drop("c")
+    near = rows.withColumn("step", F.explode(F.array("step", F.col("step") - 1)))
+    return _ordered(near.join(pivots, ["token", "step"]).filter(_close(percent)))
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
