@@ -287,14 +287,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return found.filter(100 * both >= percent * union).select("a", "b")
 
 
-def similar_texts(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """Links of similarity ``percent`` or more, closed to components.
-
-    Returns per row: doc_id, n_shingles, component_id (least doc_id of its component), and
-    class_id, which equal sets share. Null or blank texts have no shingles and no links. Equal
-    rows stay as many rows. A null doc_id is a document; its component_id is null only if no
-    member has an id. Other columns of ``docs`` are not read.
-    """
+def _placed(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Per distinct row its class and component; ``first`` marks one of each component."""
     profile = stored(profiles(docs, words, percent), "profiles")
     filled = profile.filter("size > 0")
     # equal sets: one class, named by its least key
@@ -370,16 +364,29 @@ def similar_texts(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFra
     of_key = of_key.select("key", "doc_id", "size", "copies", F.coalesce("class", "key").alias("class"))
     linked = roots.select(F.col("node").alias("class"), "root")
     of_key = of_key.join(linked, "class", "left").withColumn("root", F.coalesce("root", "class"))
-    least = of_key.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("_n"))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    least = of_key.groupBy("root").agg(F.min(first).alias("least"), F.count(F.lit(1)).alias("_n"))
     placed = of_key.join(least.filter("_n > 1"), "root", "left").select(
         "doc_id", "copies", F.col("size").alias("n_shingles"),
-        F.coalesce("component_id", "doc_id").alias("component_id"), F.col("class").alias("class_id"),
+        F.coalesce("least.doc_id", "doc_id").alias("component_id"), F.col("class").alias("class_id"),
+        "key", F.coalesce(F.col("least.key") == F.col("key"), F.lit(True)).alias("first"),
     )
     empty = profile.filter("size = 0").select(
         "doc_id", "copies", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id"),
-        F.col("key").alias("class_id"),
+        F.col("key").alias("class_id"), "key", F.lit(True).alias("first"),
     )
-    every = placed.union(empty)
+    return placed.union(empty)
+
+
+def similar_texts(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """Links of similarity ``percent`` or more, closed to components.
+
+    Returns per row: doc_id, n_shingles, component_id (least doc_id of its component), and
+    class_id, which equal sets share. Null or blank texts have no shingles and no links. Equal
+    rows stay as many rows. A null doc_id is a document; its component_id is null only if no
+    member has an id. Other columns of ``docs`` are not read.
+    """
+    every = _placed(docs, words, percent).drop("key", "first")
     once = every.filter("copies = 1").drop("copies")
     more = every.filter("copies > 1").select(
         "*", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("_i")
@@ -434,12 +441,9 @@ def _pivot_pairs(lists: DataFrame, turn: int, percent: int) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """Of every component the document with the least doc_id; all columns stay.
-
-    Rows that repeat a kept row are dropped too. Rows without an id are kept if nothing with
-    an id is linked to them; without ids the first class stays.
+    """Of every component the row with the least doc_id (rows without one last); all columns
+    stay. Of equal rows, in doc_id and text, one stays. Texts without words are all kept.
     """
-    found = similar_texts(docs, words, percent)
-    others = found.filter("doc_id != component_id").select("doc_id").distinct()
-    kept = docs.join(others, "doc_id", "left_anti")
-    return kept.dropDuplicates(["doc_id", "text"])
+    others = _placed(docs, words, percent).filter("not first").select(F.col("key").alias("_key"))
+    rows = docs.withColumn("_key", row_key("doc_id", "text"))
+    return rows.join(others, "_key", "left_anti").dropDuplicates(["_key"]).select(*docs.columns)

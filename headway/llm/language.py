@@ -64,6 +64,8 @@ class Model:
 def fit(texts: dict[str, list[str]], order: int = ORDER, symbols: int = SYMBOLS) -> Model:
     """Counts one context tree per language and unrolls it. Languages sort by name."""
     languages = sorted(texts)
+    if not languages:
+        return Model([], np.zeros(256, np.uint8), np.zeros((1, 0), np.float32), order)
     joined = {
         g: LOWER[np.frombuffer(("\n".join(texts[g])).encode(), np.uint8)] for g in languages
     }

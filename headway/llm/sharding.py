@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from headway.llm.common import numbered, stored
 
 SHARDS = 16
-ROUNDS = 3
+ROUNDS = 4
 
 
 def placed_by_order(nodes: DataFrame, order: list[str], shards: int = SHARDS) -> DataFrame:
@@ -32,13 +32,15 @@ def propagate(nodes: DataFrame, links: DataFrame, rounds: int = ROUNDS) -> DataF
     """Moves nodes (``node``, ``shard``) towards their neighbours' shards; ``links`` has a, b.
 
     A node asks for the shard most neighbours are in, if more of them are there than in its
-    own; among equal ones the lowest. Links to unknown nodes, to oneself and nulls are ignored,
+    own; among equal ones the lowest. Each round asks one half of the nodes, by hash, so that
+    neighbours do not swap places; a round that cuts no fewer links is not taken. Links to unknown nodes, to oneself and nulls are ignored,
     repeated links count repeatedly. The counts of all shards stay exactly as they are.
     """
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = stored(both.filter("a != b"), "links")
     shard = nodes.select("node", "shard")
-    for _ in range(rounds):
+    links, cut = both.filter("a < b"), None
+    for turn in range(rounds):
         seen = both.join(shard.select(F.col("node").alias("b"), F.col("shard").alias("there")), "b")
         votes = seen.groupBy("a", "there").agg(F.count(F.lit(1)).alias("n"))
         here = votes.join(shard.select(F.col("node").alias("a"), "shard"), "a")
@@ -49,12 +51,15 @@ def propagate(nodes: DataFrame, links: DataFrame, rounds: int = ROUNDS) -> DataF
             F.col("a").alias("node"), "shard", (-F.col("best.low")).cast("int").alias("target"),
             (F.col("best.n") - F.col("own")).alias("gain"),
         ).filter("target != shard and gain > 0")
+        half = F.pmod(F.shiftright(F.xxhash64("node", F.lit(turn // 2)), 7), F.lit(2)) == turn % 2
+        wish = wish.filter(half)
         wish = stored(wish, "wishes")
         flows = wish.groupBy("shard", "target").agg(F.count(F.lit(1)).alias("n"))
         back = flows.select(F.col("target").alias("shard"), F.col("shard").alias("target"), F.col("n").alias("m"))
         quota = flows.join(back, ["shard", "target"]).select("shard", "target", F.least("n", "m").alias("quota"))
         if quota.isEmpty():
-            break
+            continue
+        cut = cut_links(shard, links) if cut is None else cut
         # order within a pair of shards from one global order, so no task holds a whole pair
         ranked = numbered(wish, ["shard", "target", F.desc("gain"), F.xxhash64("node")], "rank")
         first = ranked.groupBy("shard", "target").agg(F.min("rank").alias("first"))
@@ -62,10 +67,13 @@ def propagate(nodes: DataFrame, links: DataFrame, rounds: int = ROUNDS) -> DataF
         moved = ranked.join(F.broadcast(limits), ["shard", "target"]).filter(
             F.col("rank") - F.col("first") < F.col("quota")
         ).select("node", "target")
-        shard = stored(
+        after = stored(
             shard.join(moved, "node", "left").select("node", F.coalesce("target", "shard").alias("shard")),
             "shards",
         )
+        left = cut_links(after, links)
+        if left < cut:
+            shard, cut = after, left
     return shard
 
 
