@@ -218,7 +218,9 @@ def stats_views(order: str = "text") -> dict[str, str]:
             FROM routes r LEFT JOIN runs USING (feed_id, route_id)
             LEFT JOIN visits USING (feed_id, route_id)
             LEFT JOIN departures USING (feed_id, route_id)""",
-        "listed": first_n("route_stats", 50, "feed_id", "_pos"),
+        "listed": """
+            SELECT *, row_number() OVER (PARTITION BY feed_id ORDER BY _pos) AS rn
+            FROM route_stats""",
         "types": """
             SELECT feed_id, route_type, count(*) AS n FROM routes
             WHERE route_type IS NOT NULL GROUP BY 1, 2""",
@@ -260,7 +262,7 @@ def stats_views(order: str = "text") -> dict[str, str]:
                    coalesce(t.n, 0) AS total_trips,
                    coalesce(round(coalesce(s.n, 0) / r.n, 1), 0) AS avg_stops_per_route,
                    coalesce(round(coalesce(t.n, 0) / r.n, 1), 0) AS avg_trips_per_route,
-                   coalesce(least(s.stations, 50), 0) AS station_count,
+                   coalesce(s.stations, 0) AS station_count,
                    coalesce(x.n, 0) AS total_transfers,
                    coalesce(weekday_services, 0) AS weekday_services,
                    coalesce(weekend_services, 0) AS weekend_services, range_start, range_end,

@@ -1360,16 +1360,16 @@ def _(b):
 @query(
     "benchmark_metadata",
     with_stats(
-        """SELECT 'category' AS dimension, category AS value, count(*) AS n FROM answers
-               WHERE difficulty IS NOT NULL GROUP BY 2
-           UNION ALL SELECT 'difficulty', difficulty, count(*) FROM answers
-               WHERE difficulty IS NOT NULL GROUP BY 2
-           UNION ALL SELECT 'all', '', count(*) FROM answers WHERE difficulty IS NOT NULL""",
+        """SELECT 'category' AS dimension, coalesce(category, 'unknown') AS value,
+               count(*) AS n FROM answers GROUP BY 2
+           UNION ALL SELECT 'difficulty', coalesce(difficulty, 'medium'), count(*)
+               FROM answers GROUP BY 2
+           UNION ALL SELECT 'all', '', count(*) FROM answers""",
         **_ANSWERS,
     ),
 )
 def _(b):
-    return P.benchmark_metadata(b.answers.where("difficulty is not null"))
+    return P.benchmark_metadata(b.answers)
 
 
 _LINES_20 = f"""

@@ -523,7 +523,7 @@ def _(b):
     ),
 )
 def _(b):
-    return M.listed_stations(b.stops).select("feed_id", "stop_id")
+    return M.listed_stations(b.stops, n=50).select("feed_id", "stop_id")
 
 
 @query(
@@ -598,7 +598,7 @@ def _(b):
         SELECT f.feed_id, total_routes, total_stops, l.n AS total_trips, avg_stops_per_route,
                round(l.n / total_routes, 1) AS avg_trips_per_route
         FROM feed_stats f
-        JOIN (SELECT feed_id, CAST(sum(trip_count) AS BIGINT) AS n FROM listed GROUP BY 1) l
+        JOIN (SELECT feed_id, CAST(sum(trip_count) AS BIGINT) AS n FROM listed WHERE rn <= 50 GROUP BY 1) l
              USING (feed_id)"""),
 )
 def _(b):

@@ -194,7 +194,15 @@ def category_counts(pairs: DataFrame, by_count: bool = True) -> DataFrame:
 
 
 def benchmark_metadata(items: DataFrame) -> DataFrame:
-    """Items in total, per category and per difficulty (``dimension, value, n``)."""
+    """Items in total, per category and per difficulty (``dimension, value, n``).
+
+    Items without a category count as ``unknown``, without a difficulty as ``medium``, as in
+    ``score_report``.
+    """
+    items = items.select(
+        F.coalesce("category", F.lit("unknown")).alias("category"),
+        F.coalesce("difficulty", F.lit("medium")).alias("difficulty"),
+    )
     counted = items.groupingSets(
         [["category"], ["difficulty"], []], "category", "difficulty"
     ).agg(F.grouping_id().alias("g"), F.count(F.lit(1)).alias("n"))

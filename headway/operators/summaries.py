@@ -16,7 +16,6 @@ AGENCY_COLUMNS = ("agency_id", "agency_name", "agency_url", "agency_timezone")
 
 # Rows listed in a feed summary.
 LISTED_ROUTES = 50
-LISTED_STATIONS = 50
 SAMPLED_STOPS = 100
 SAMPLED_TRANSFERS = 50
 
@@ -52,8 +51,9 @@ def stations(stops: DataFrame) -> DataFrame:
     return stops.where("location_type = 1")
 
 
-def listed_stations(stops: DataFrame, order=(POSITION,), n: int = LISTED_STATIONS) -> DataFrame:
-    return first_n_per_feed(stations(stops), n, order)
+def listed_stations(stops: DataFrame, order=(POSITION,), n: int | None = None) -> DataFrame:
+    """The stations of every feed, with ``n`` the first of them only."""
+    return stations(stops) if n is None else first_n_per_feed(stations(stops), n, order)
 
 
 def counts_by_code(df: DataFrame, code: str) -> DataFrame:

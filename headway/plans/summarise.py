@@ -48,7 +48,11 @@ class FeedTables:
 
 @dataclass(frozen=True)
 class FeedSummary:
-    """Lazy statistics of all feeds. ``stored`` keeps the shared ones."""
+    """Lazy statistics of all feeds. ``stored`` keeps the shared ones.
+
+    ``routes_listed`` and ``stations_listed`` keep the first rows of every feed only, in
+    lists and in the facts drawn from them; None keeps all.
+    """
 
     tables: FeedTables
     order: str = "text"
@@ -58,6 +62,8 @@ class FeedSummary:
     sampled_stops: int = S.SAMPLED_STOPS
     sampled_transfers: int = S.SAMPLED_TRANSFERS
     seed: int = 42
+    routes_listed: int | None = None
+    stations_listed: int | None = None
 
     @property
     def feeds(self) -> DataFrame:
@@ -81,12 +87,14 @@ class FeedSummary:
 
     @cached_property
     def listed_routes(self) -> DataFrame:
-        """The first routes of every feed, as listed in its summary."""
-        return first_n_per_feed(self.route_stats, S.LISTED_ROUTES)
+        """The routes of every feed that its summary lists and facts are drawn from."""
+        if self.routes_listed is None:
+            return self.route_stats
+        return first_n_per_feed(self.route_stats, self.routes_listed)
 
     @cached_property
     def stations(self) -> DataFrame:
-        return S.listed_stations(self.tables.stops)
+        return S.listed_stations(self.tables.stops, n=self.stations_listed)
 
     @cached_property
     def sample_stops(self) -> DataFrame:
@@ -121,11 +129,10 @@ class FeedSummary:
     @cached_property
     def feed_stats(self) -> DataFrame:
         """One row per feed with all totals."""
-        stops = self.tables.stops.groupBy(FEED).agg(
-            F.least(
-                F.count_if(F.col("location_type") == 1), F.lit(S.LISTED_STATIONS)
-            ).alias("station_count")
-        )
+        stations = F.count_if(F.col("location_type") == 1)
+        if self.stations_listed is not None:
+            stations = F.least(stations, F.lit(self.stations_listed))
+        stops = self.tables.stops.groupBy(FEED).agg(stations.alias("station_count"))
         transfers = self.tables.transfers.groupBy(FEED).agg(
             F.count(F.lit(1)).alias("total_transfers")
         )
