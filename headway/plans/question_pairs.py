@@ -84,12 +84,13 @@ def comparative_pairs(s: FeedSummary) -> DataFrame:
 
 
 def size_pairs(s: FeedSummary) -> DataFrame:
-    """Random feed pairs, most and fewest trips, most modes."""
-    return union_pairs(
+    """Random feed pairs, most and fewest trips, most modes; none for fewer than two feeds."""
+    pairs = union_pairs(
         _over_all(V.shuffled_view(s), W.SIZE_COMPARISON, EXPANDED, 0),
         _over_all(V.extremes_view(s), W.MOST_TRIPS, EXPANDED, 1),
         _over_all(V.diverse_view(s), W.MOST_DIVERSE, EXPANDED, 2),
     )
+    return pairs.where(s.feeds.agg(F.count(F.lit(1)) > 1).scalar())
 
 
 def static_pairs(
