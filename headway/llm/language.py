@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.llm.common import LOWER, bytes_of, column, slices
@@ -23,6 +23,7 @@ ORDER = 2
 SYMBOLS = 64  # byte classes; rarer bytes share the last one
 TRAIN_CHARS = 400_000  # characters per language, the bound on the fitted sample
 TRAIN_ROWS = 600  # rows per language
+TRAIN_TEXT = 1 << 14  # characters of one training text
 UNKNOWN = "und"
 
 
@@ -109,10 +110,8 @@ def training_sample(docs: DataFrame, where: Column, rows: int = TRAIN_ROWS) -> D
     """At most ``rows`` texts per language, spread by hash: a bounded sample for fit()."""
     known = docs.filter(where & F.col("lang").isNotNull() & F.col("text").isNotNull())
     chance = F.xxhash64("text")
-    narrow = known.select("lang", chance.alias("_chance"), F.substring("text", 1, 1 << 20).alias("text"))
+    narrow = known.select("lang", chance.alias("_chance"), F.substring("text", 1, TRAIN_TEXT).alias("text"))
     # per task the first rows of each language, then those of all tasks
-    from pyspark.sql import Window
-
     order = Window.partitionBy("lang").orderBy("_chance", "text")
     return narrow.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= rows).drop("_n", "_chance")
 
