@@ -34,44 +34,47 @@ def stop_times_with_route(stop_times: DataFrame, trips: DataFrame) -> DataFrame:
     return stop_times.join(routed, [FEED, "trip_id"])
 
 
-def route_departures(
+def route_visits(
     trips: DataFrame,
     stop_times: DataFrame,
     order: str = "text",
     tie: Sequence[str] = (POSITION,),
+    approximate: bool = False,
 ) -> DataFrame:
-    """First and last of the departures from the trips' first stops, per route.
+    """Per route its distinct stops, and first and last of the departures from the trips'
+    first stops.
 
     ``order="text"`` compares times as text, where ``9:00:00`` lies behind
     ``25:10:00``; ``order="seconds"`` as times.
     """
-    # one row per trip before the join: the minimum is combined ahead of the shuffle
-    starts = (
-        stop_times.where("trip_id is not null and stop_sequence is not null")
+    # one row per trip before the join, combined ahead of the only shuffle of stop times;
+    # the set is bounded by the stops of a trip
+    placed = F.when(F.col("stop_sequence").isNotNull(), F.struct("stop_sequence", *tie))
+    calls = (
+        stop_times.where("trip_id is not null")
         .groupBy(FEED, "trip_id")
-        .agg(F.min_by("departure_time", F.struct("stop_sequence", *tie)).alias("departure"))
-        .where(stripped(F.col("departure")) != "")
+        .agg(
+            F.min_by("departure_time", placed).alias("departure"),
+            F.collect_set("stop_id").alias("stops"),
+        )
+    )
+    visits = stop_times_with_route(calls, trips).select(
+        FEED, "route_id", "departure", F.posexplode_outer("stops").alias("place", "stop_id")
     )
-    departures = stop_times_with_route(starts, trips)
+    # a departure counts once per trip, beside the first of its stops
+    once = (F.coalesce("place", F.lit(0)) == 0) & (stripped(F.col("departure")) != "")
+    departure = F.when(once, F.col("departure"))
     if order == "seconds":
-        at = gtfs_seconds(F.col("departure"))
-        first, last = F.min_by("departure", at), F.max_by("departure", at)
+        at = gtfs_seconds(departure)
+        first, last = F.min_by(departure, at), F.max_by(departure, at)
     else:
-        first, last = F.min("departure"), F.max("departure")
-    return departures.groupBy(FEED, "route_id").agg(
-        first.alias("first_departure"), last.alias("last_departure")
-    )
-
-
-def route_stop_counts(
-    trips: DataFrame, stop_times: DataFrame, approximate: bool = False
-) -> DataFrame:
-    """Distinct stops visited per route."""
-    visits = stop_times_with_route(
-        stop_times.where("stop_id is not null").select(FEED, "trip_id", "stop_id"), trips
-    )
+        first, last = F.min(departure), F.max(departure)
     count = F.approx_count_distinct if approximate else F.count_distinct
-    return visits.groupBy(FEED, "route_id").agg(count(F.col("stop_id")).alias("stop_count"))
+    return visits.groupBy(FEED, "route_id").agg(
+        count(F.col("stop_id")).alias("stop_count"),
+        first.alias("first_departure"),
+        last.alias("last_departure"),
+    )
 
 
 def route_trip_counts(trips: DataFrame) -> DataFrame:
@@ -105,15 +108,14 @@ def route_schedules(
     """Schedule statistics of every route that has trips.
 
     ``feed_id, route_id, trip_count, stop_count, first_departure, last_departure,
-    headsigns``. The four parts are aggregated to route level on their own, each with a
+    headsigns``. The three parts are aggregated to route level on their own, each with a
     single distinct aggregate at most, and then joined on the key they are already
-    partitioned by.
+    partitioned by. Stop times are read and shuffled once.
     """
     key = [FEED, "route_id"]
     return (
         route_trip_counts(trips)
-        .join(route_stop_counts(trips, stop_times, approximate), key, "left")
-        .join(route_departures(trips, stop_times, order, tie), key, "left")
+        .join(route_visits(trips, stop_times, order, tie, approximate), key, "left")
         .join(route_headsigns(trips), key, "left")
         .withColumn("stop_count", F.coalesce("stop_count", F.lit(0)))
         .withColumn("headsigns", F.coalesce("headsigns", F.array().cast("array<string>")))

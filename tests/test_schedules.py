@@ -55,6 +55,20 @@ def test_route_schedules_by_time(tables):
     assert (f.first_departure, f.last_departure) == ("04:30:00", "25:15:00")
 
 
+def test_stop_times_are_shuffled_once(spark, tables):
+    joins = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(joins)
+    spark.conf.set(joins, "-1")  # as large tables have it
+    try:
+        plan = S.route_schedules(*tables)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(joins, before)
+    # one exchange of stop times by trip, one of the trips they meet
+    by_trip = [x for x in plan.splitlines() if "hashpartitioning(feed_id" in x and "trip_id" in x]
+    by_trip = [x for x in by_trip if "route_id" not in x]
+    assert len(by_trip) == 2, plan
+
+
 def test_filters(spark):
     routes = spark.createDataFrame(
         [("f", "1", "04:00:00", "23:30:00", "1", 2), ("f", "2", "9:00:00", "10:00:00", "", 0),
