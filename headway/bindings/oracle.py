@@ -2,7 +2,40 @@
 
 from __future__ import annotations
 
-from headway.functions.scalars import ROUTE_TYPES
+# The expected names, written out so that they do not follow the code they check.
+ROUTE_TYPES = {
+    0: "Tram/Streetcar/Light rail",
+    1: "Subway/Metro",
+    2: "Rail/Commuter rail",
+    3: "Bus",
+    4: "Ferry",
+    5: "Cable tram",
+    6: "Aerial lift/Gondola",
+    7: "Funicular",
+    11: "Trolleybus",
+    12: "Monorail",
+}
+ROUTE_TYPES_SHORT = {
+    0: "Tram/Light Rail",
+    1: "Subway/Metro",
+    2: "Rail",
+    3: "Bus",
+    4: "Ferry",
+    5: "Cable Tram",
+    6: "Gondola",
+    7: "Funicular",
+    11: "Trolleybus",
+    12: "Monorail",
+}
+TRANSFER_TYPES = {
+    0: "Recommended transfer point",
+    1: "Timed transfer (vehicle waits)",
+    2: "Minimum time required",
+    3: "No transfer possible",
+}
+DEMAND_VERBS = (
+    "mention|state|explain|identify|list|note|confirm|distinguish|define|contrast|calculate"
+)
 
 SEGMENTS = (
     "CASE c_mktsegment WHEN 'BUILDING' THEN 3 WHEN 'AUTOMOBILE' THEN 1 WHEN 'MACHINERY' THEN 0"

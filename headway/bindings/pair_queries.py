@@ -17,7 +17,7 @@ from headway.operators import ranking as R
 from headway.operators import scoring as S
 from headway.plans import benchmark_items as B
 from headway.plans import question_pairs as Q
-from headway.plans.score_runs import compare_runs
+from headway.plans.score_runs import compare_runs, score_benchmark
 from headway.plans.validate_pairs import distribution_check, validate_pairs
 from headway.schema import PAIR_FIELDS
 from headway.session import shared_folder
@@ -30,7 +30,7 @@ from headway.sources import documents as J
     "route_type_names",
     with_views(f"""
         SELECT route_id, {O.mode('route_type')} AS long,
-               {O.coded('route_type', A.ROUTE_TYPES_SHORT, "'type ' || route_type")} AS short
+               {O.coded('route_type', O.ROUTE_TYPES_SHORT, "'type ' || route_type")} AS short
         FROM routes"""),
 )
 def _(b):
@@ -47,7 +47,7 @@ def _(b):
     with_views(f"""
         SELECT feed_id, from_stop_id, to_stop_id,
                CASE WHEN transfer_type IS NULL THEN 'a transfer'
-                    ELSE {O.coded('transfer_type', A.TRANSFER_TYPES, "'a standard transfer'")}
+                    ELSE {O.coded('transfer_type', O.TRANSFER_TYPES, "'a standard transfer'")}
                END AS kind
         FROM transfers"""),
 )
@@ -266,7 +266,7 @@ def _(b):
     return b.answers.select("id", F.round(score, 9).alias("score"))
 
 
-_DEMANDS = f"regexp_replace(scoring_criteria, '^Must\\s+({X.DEMAND_VERBS})\\s*:?\\s*', '', 'i')"
+_DEMANDS = f"regexp_replace(scoring_criteria, '^Must\\s+({O.DEMAND_VERBS})\\s*:?\\s*', '', 'i')"
 _MINIMUM = f"TRY_CAST(regexp_extract({_DEMANDS}, 'at least (\\d+) of:?\\s*', 1, 'i') AS INT)"
 _PHRASES = f"regexp_replace({_DEMANDS}, '^.*?at least (\\d+) of:?\\s*', '', 'is')"
 _TERMS = f"""list_transform(list_filter(list_transform(
@@ -640,7 +640,7 @@ _FACTS = {
         SELECT s.*, provider FROM stop_draw s JOIN feeds USING (feed_id) WHERE draw <= 30""",
     "transfer_facts": f"""
         SELECT t.*, provider, CASE WHEN transfer_type IS NULL THEN 'a transfer'
-            ELSE {O.coded('transfer_type', A.TRANSFER_TYPES, "'a standard transfer'")} END AS kind
+            ELSE {O.coded('transfer_type', O.TRANSFER_TYPES, "'a standard transfer'")} END AS kind
         FROM transfer_draw t JOIN feeds USING (feed_id) WHERE draw <= 15""",
 }
 
@@ -1375,7 +1375,7 @@ def _(b):
 _LINES_20 = f"""
     SELECT feed_id, string_agg('  Route ' || CASE WHEN route_short_name <> '' THEN route_short_name
                ELSE coalesce(route_long_name, '?') END || ': '
-               || {O.coded('coalesce(route_type, -1)', A.ROUTE_TYPES, "'unknown'")} || ', '
+               || {O.coded('coalesce(route_type, -1)', O.ROUTE_TYPES, "'unknown'")} || ', '
                || trip_count || ' trips, ' || stop_count || ' stops, '
                || coalesce(first_departure, '') || '-' || coalesce(last_departure, ''),
                chr(10) ORDER BY _pos) AS lines
@@ -1474,20 +1474,72 @@ def _(b):
     )
 
 
-@query("score_answers")
+# The longest common subsequence as a recursion over the tokens ``b``: ``best`` holds per token
+# of ``a`` the longest match that ends at it or before.
+_STEPS = """
+    WITH RECURSIVE steps(key, a, b, j, best) AS (
+        SELECT key, a, b, 0, list_transform(a, lambda x: 0) FROM token_pairs
+        UNION ALL
+        SELECT key, a, b, j + 1,
+               list_transform(met, lambda x, i: list_max(list_slice(met, 1, i)))
+        FROM (SELECT *, list_transform(a, lambda x, i: CASE WHEN x = b[j + 1]
+                  THEN coalesce(best[i - 1], 0) + 1 ELSE best[i] END) AS met
+              FROM steps WHERE j < len(b)))
+    SELECT key, CASE WHEN len(a) + len(b) = 0 THEN 0.0
+                ELSE 2 * coalesce(best[len(a)], 0) / (len(a) + len(b)) END AS rouge_l
+    FROM steps WHERE j = len(b)"""
+
+
+def _tokens(c: str) -> str:
+    return (
+        f"list_filter(string_split_regex(lower(coalesce({c}, '')), '[^a-z0-9]+'),"
+        " lambda t: t <> '')"
+    )
+
+
+_SCORED = {
+    **_ANSWERS,
+    "token_pairs": f"""
+        SELECT id AS key, {_tokens('generated')} AS a, {_tokens('expected_answer')} AS b
+        FROM answers""",
+    "rouge": _STEPS,
+    "rated": f"""
+        SELECT id, category, difficulty, rouge_l, {_KEYWORD} AS keyword_match,
+               {_CRITERIA} AS criteria_match
+        FROM answers JOIN rouge ON key = id""",
+}
+_SCORE_COLUMNS = ", ".join(f"round({c}, 9) AS {c}" for c in S.SCORES[:3])
+
+
+@query(
+    "score_answers",
+    with_stats(
+        f"""SELECT id, {_SCORE_COLUMNS},
+                   round(0.4 * rouge_l + 0.3 * keyword_match + 0.3 * criteria_match, 9) AS combined
+            FROM rated""",
+        **_SCORED,
+    ),
+)
 def score_answers(b):
-    # longest common subsequences are beyond SQL on whole tables; tested by brute force
-    return S.score_answers(b.answers).select("id", *S.SCORES)
+    return S.score_answers(b.answers).select("id", *[F.round(s, 9).alias(s) for s in S.SCORES])
 
 
-@query("rouge_l_of_turns")
+@query(
+    "rouge_l_of_turns",
+    f"""WITH token_pairs AS (
+            SELECT {{'conv_id': conv_id, 'turn': turn}} AS key, {_tokens('c.text')} AS a,
+                   {_tokens('d.text')} AS b
+            FROM conversations c JOIN documents d ON doc_id = conv_id)
+        SELECT key.conv_id AS conv_id, key.turn AS turn, round(rouge_l, 9) AS rouge_l
+        FROM ({_STEPS})""",
+)
 def _(b):
     # whole replies against the whole document of the same number
     texts = b.raw("documents").select(F.col("doc_id").alias("conv_id"), "text")
     replies = b.raw("conversations").select("conv_id", "turn", F.col("text").alias("reply"))
     both = replies.join(texts, "conv_id")
     score = X.rouge_l(X.tokens(F.col("text")), X.tokens(F.col("reply")))
-    return both.select("conv_id", "turn", score.alias("rouge_l"))
+    return both.select("conv_id", "turn", F.round(score, 9).alias("rouge_l"))
 
 
 _COMBINED = "0.4 * rouge_l + 0.3 * keyword_match + 0.3 * criteria_match"
@@ -1535,6 +1587,22 @@ def _(b):
     return S.score_report(_with_combined(b.scored))
 
 
+@query(
+    "score_benchmark",
+    with_stats(
+        _report_sql("weighed"),
+        **_SCORED,
+        weighed="""
+            SELECT * REPLACE (coalesce(difficulty, 'medium') AS difficulty),
+                   0.5 * rouge_l + 0.25 * keyword_match + 0.25 * criteria_match AS combined
+            FROM rated""",
+    ),
+)
+def _(b):
+    predictions, benchmark = b.answers.select("id", "generated"), b.answers.drop("generated")
+    return score_benchmark(predictions, benchmark, weights=(0.5, 0.25, 0.25)).report
+
+
 def _two_reports(b):
     first = _with_combined(b.scored)
     second = (
