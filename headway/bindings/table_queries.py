@@ -260,14 +260,19 @@ def _(b):
     with_views(f"""
         SELECT (SELECT count(*) FROM feeds) AS total_feeds,
                (SELECT count(*) FROM feeds WHERE feed_id <> '4') AS successful,
-               1 AS failed, (SELECT count(*) FROM routes) AS total_routes,
-               0 AS total_stops, 0 AS total_trips,
+               (SELECT count(*) FROM feeds WHERE feed_id = '4') AS failed,
+               (SELECT count(*) FROM routes) AS total_routes,
+               (SELECT count(*) FROM stops) AS total_stops,
+               (SELECT count(*) FROM trips) AS total_trips,
                (SELECT count(*) FROM ({_FIRST_COPY})) AS total_stop_times"""),
 )
 def _(b):
     columns = ["feed_id", "table", "rows_cleaned"]
-    routes = K.row_counts(b.routes, "rows_cleaned").withColumn("table", F.lit("routes"))
-    stats = _stop_time_stats(b).select(*columns).unionByName(routes.select(*columns))
+    stats = _stop_time_stats(b).select(*columns)
+    for name in ("routes", "stops", "trips"):
+        clean = K.dedupe_keep_first(getattr(b, name), TABLES[name])
+        counts = K.row_counts(clean, "rows_cleaned").withColumn("table", F.lit(name))
+        stats = stats.unionByName(counts.select(*columns))
     return K.cleaning_report(stats, b.feeds.withColumn("success", F.col("feed_id") != "4"))
 
 
