@@ -17,6 +17,7 @@ from headway.operators import ranking as R
 from headway.operators import scoring as S
 from headway.plans import benchmark_items as B
 from headway.plans import question_pairs as Q
+from headway.plans import templates as T
 from headway.plans.score_runs import compare_runs, score_benchmark
 from headway.plans.validate_pairs import distribution_check, validate_pairs
 from headway.schema import PAIR_FIELDS
@@ -1451,6 +1452,30 @@ def _(b):
     )
 
 
+_OWN = T.register_template(
+    T.Template(
+        category="own", label="own_v1", view="own_routes", guard="route_type is not null",
+        instruction="What runs as {route_id}?",
+        response=["A line of type {route_type}", ("route_long_name is not null", ": {route_long_name}")],
+    )
+)
+
+
+@query(
+    "register_template",
+    with_views("""
+        SELECT 'What runs as ' || route_id || '?' AS instruction,
+               'A line of type ' || route_type || coalesce(': ' || route_long_name, '') AS response,
+               'own' AS category, 'own_v1' AS template_id, feed_id
+        FROM routes WHERE route_type IS NOT NULL"""),
+)
+def _(b):
+    view = b.routes.withColumn("item", F.col("_pos"))
+    return T.pairs_from(view, T.REGISTRY[_OWN.view]).select(
+        "instruction", "response", "category", "template_id", "feed_id"
+    )
+
+
 # --- scores --------------------------------------------------------------------------------
 
 

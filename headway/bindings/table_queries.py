@@ -18,6 +18,7 @@ from headway.operators import schedules as S
 from headway.operators import summaries as M
 from headway.schema import TABLES
 from headway.session import shared_folder
+from headway.sources import documents as J
 from headway.sources import lake
 from headway.sources.catalog import read_catalog
 
@@ -132,6 +133,36 @@ def _(b):
     return C.select_seed_feeds(b.catalog, C.target_table(b.spark, ASKED))
 
 
+@query(
+    "seed_feeds_round_trip",
+    with_views(
+        """SELECT CAST(mdb_source_id AS VARCHAR) AS feed_id, provider, country_code,
+                  subdivision_name AS subdivision, 'nan' AS municipality,
+                  coalesce(direct_download, 'nan') AS download_url, 'nan' AS license_url,
+                  coalesce(status, 'nan') AS status, category, reason AS selected_reason
+           FROM found WHERE rn = 1""",
+        asked=_ASKED_TABLE,
+        found=_FOUND_TABLE,
+    ),
+)
+def _(b):
+    folder = f"{shared_folder(b.spark)}/seeds-{uuid.uuid4().hex}"
+    J.write_seed_feeds(C.select_seed_feeds(b.catalog, C.target_table(b.spark, ASKED)), folder)
+    return J.read_seed_feeds(b.spark, folder)
+
+
+@query(
+    "feed_documents_round_trip",
+    with_views("SELECT feed_id, provider, country_code FROM feeds"),
+)
+def _(b):
+    folder = f"{shared_folder(b.spark)}/documents-{uuid.uuid4().hex}"
+    # one folder per feed names it; its document does not
+    b.feeds.withColumnRenamed("feed_id", "feed").write.partitionBy("feed").json(folder)
+    found = J.read_feed_documents(b.spark, folder, name="*.json", prefix="feed=")
+    return found.select("feed_id", "provider", "country_code")
+
+
 @query(
     "unmatched_targets",
     with_views(
@@ -276,6 +307,34 @@ def _(b):
     return K.cleaning_report(stats, b.feeds.withColumn("success", F.col("feed_id") != "4"))
 
 
+@query(
+    "report_round_trip",
+    with_views("""
+        SELECT (SELECT count(*) FROM catalog) AS total_feeds,
+               (SELECT count(DISTINCT country_code) FROM catalog) AS countries,
+               (SELECT count(DISTINCT provider) FROM catalog) AS unique_providers,
+               true AS stamped"""),
+)
+def _(b):
+    folder = f"{shared_folder(b.spark)}/report-{uuid.uuid4().hex}"
+    J.write_report(C.catalog_stats(b.catalog), folder)
+    return b.spark.read.json(folder).select(
+        "total_feeds", "countries", "unique_providers",
+        F.col("generated_at").isNotNull().alias("stamped"),
+    )
+
+
+@query(
+    "trim_headers",
+    with_views("SELECT feed_id, route_id, route_short_name, route_type FROM routes"),
+)
+def _(b):
+    padded = b.routes.select("feed_id", "route_id", "route_short_name", "route_type").toDF(
+        "feed_id", " route_id", "route_short_name ", "\troute_type "
+    )
+    return K.trim_headers(padded)
+
+
 @query(
     "clean_store_round_trip",
     with_views("SELECT feed_id, route_id, route_short_name, route_type FROM routes"),
