@@ -1452,12 +1452,10 @@ def _(b):
     )
 
 
-_OWN = T.register_template(
-    T.Template(
-        category="own", label="own_v1", view="own_routes", guard="route_type is not null",
-        instruction="What runs as {route_id}?",
-        response=["A line of type {route_type}", ("route_long_name is not null", ": {route_long_name}")],
-    )
+_OWN = T.Template(
+    category="own", label="own_v1", view="own_routes", guard="route_type is not null",
+    instruction="What runs as {route_id}?",
+    response=["A line of type {route_type}", ("route_long_name is not null", ": {route_long_name}")],
 )
 
 
@@ -1471,7 +1469,9 @@ _OWN = T.register_template(
 )
 def _(b):
     view = b.routes.withColumn("item", F.col("_pos"))
-    return T.pairs_from(view, T.REGISTRY[_OWN.view]).select(
+    T.register_template(_OWN)
+    found = T.REGISTRY.pop(_OWN.view)  # a view of its own, which generated datasets do not have
+    return T.pairs_from(view, found).select(
         "instruction", "response", "category", "template_id", "feed_id"
     )
 
