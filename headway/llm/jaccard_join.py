@@ -344,6 +344,8 @@ def _placed(docs: DataFrame, words: int, percent: int) -> DataFrame:
             mixed_lists = current.groupBy("token").agg(F.min("root").alias("_low"), F.max("root").alias("_high"))
             mixed_lists = mixed_lists.filter("_low != _high").select("token")
             current = stored(current.join(mixed_lists, "token", "left_semi"), "open")
+            if current.isEmpty():
+                break
             if turn == PIVOT_ROUNDS:
                 pairs = _all_pairs(current, percent).distinct()
             else:
@@ -354,7 +356,7 @@ def _placed(docs: DataFrame, words: int, percent: int) -> DataFrame:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         if pairs.isEmpty() and turn > 0:
-            break
+            continue  # pivots near nothing new say nothing of the other members of a list
         tested = pairs if tested is None else tested.union(pairs)
         found = stored(_verified(pairs, sets, percent), "links")
         links = found if links is None else links.union(found)

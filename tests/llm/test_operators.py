@@ -240,6 +240,23 @@ def test_jaccard_join_of_near_copies(spark, monkeypatch):
     assert collections.Counter((x.doc_id, x.n_shingles, x.component_id) for x in found) == brute_components(rows)
 
 
+def test_jaccard_join_of_a_sparse_family(spark):
+    # one long list of texts far from each other, but for three pairs that no pivot is part of
+    r = np.random.default_rng(1)
+    base = prose(12, 200).split()
+    spots = [r.choice(np.arange(5, 195), 4, replace=False) for _ in range(100)]
+    rows = []
+    for i, places in enumerate([*spots, *spots[:3]]):
+        words = list(base)
+        for p in places:
+            words[p] = f"own{i}"
+        rows.append((i, " ".join(words)))
+    wanted = brute_components(rows)
+    assert len({c for _, _, c in wanted}) == 100
+    found = jaccard_join.similar_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert collections.Counter((x.doc_id, x.n_shingles, x.component_id) for x in found) == wanted
+
+
 def test_one_of_each(docs, nothing):
     kept = jaccard_join.one_of_each(docs)
     assert kept.columns == docs.columns
