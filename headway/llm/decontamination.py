@@ -2,10 +2,11 @@
 
 For every item length, windows of that many words slide over the text, one word at a time,
 wherever the text holds a shingle of an item of that length (a window without one has
-similarity 0). A window's 64-bit SimHash comes from running sums of its shingles' votes. A
-multi-index over blocks of the items' fingerprints finds all items within the Hamming
-radius: by the pigeonhole principle one of the blocks is within radius / blocks. What is
-found is verified by exact weighted similarity of the shingle counts.
+similarity 0); a text shorter than the item is one window. A window's 64-bit SimHash comes
+from running sums of its shingles' votes. A multi-index over blocks of the items'
+fingerprints finds all items within the Hamming radius: by the pigeonhole principle one of
+the blocks is within radius / blocks. What is found is verified by exact weighted similarity
+of the shingle counts.
 
 The items are the stated query set: they are held in blocks of bounded size, and the
 documents are scanned once per block.
@@ -186,11 +187,14 @@ def matches(texts: pa.Array, items: Items, threshold: float) -> list[tuple]:
                 n, w, members, index = items.by_length[k]
                 if w != width:
                     continue
-                for start, m in _windows_of(h, np.array(places), n - w + 1, index):
+                units = min(n - w + 1, len(h))  # a text shorter than the item is one window
+                if units / (n - w + 1) < threshold:
+                    continue  # the most that so few shingles can reach
+                for start, m in _windows_of(h, np.array(places), units, index):
                     item = int(members[m])
-                    s = similarity(h[start : start + n - w + 1], items.grams[item])
+                    s = similarity(h[start : start + units], items.grams[item])
                     if s >= threshold and (item not in best or s > best[item][2]):
-                        best[item] = (start, n, s)
+                        best[item] = (start, units + w - 1, s)
             out += [(row, items.ids[i], start, n, s) for i, (start, n, s) in best.items()]
     return out
 
@@ -202,7 +206,8 @@ def contaminations(
     """One row per row of ``docs`` and item it holds: ``key``, item_id, start_word (from 0),
     n_words and similarity of its best window (the first of equal ones).
 
-    Null or empty texts and items hold nothing; a text shorter than an item does not hold it.
+    Null or empty texts and items hold nothing; a text shorter than an item is compared as a
+    whole, n_words being its own.
     Repeated rows, of documents or items, give repeated rows; a null key stays null. Other
     columns are not read.
     """

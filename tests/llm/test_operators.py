@@ -464,6 +464,21 @@ def test_decontamination(spark, docs, nothing):
     assert decontamination.contaminations(table, items.filter("1 = 0")).count() == 0
 
 
+def test_decontamination_of_texts_shorter_than_an_item(spark):
+    item = prose(78, 59).split()
+    rows = [
+        (1, " ".join(item[:54])), (2, " ".join(item[5:])), (3, " ".join(item[:30] + item[31:])),
+        (4, " ".join(item[:48])), (5, " ".join(item[:47])), (6, " ".join(item[:10])), (7, " ".join(item[:3])),
+    ]
+    items = spark.createDataFrame([(9, " ".join(item))], "item_id long, text string")
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = decontamination.contaminations(table, items).collect()
+    got = {(r.doc_id, r.item_id, r.start_word, r.n_words, round(r.similarity, 9)) for r in found}
+    shares = {1: (54, 50 / 55), 2: (54, 50 / 55), 3: (58, 50 / 59), 4: (48, 44 / 55)}
+    assert got == {(i, 9, 0, n, round(s, 9)) for i, (n, s) in shares.items()}
+    assert sorted(r.doc_id for r in decontamination.without_benchmark(table, items).collect()) == [5, 6, 7]
+
+
 def test_multi_index_finds_all_within_the_radius():
     r = np.random.default_rng(6)
     prints, queries = (r.integers(0, 256, (60, 8), dtype=np.uint8) for _ in range(2))
