@@ -3,8 +3,9 @@
 Documents start in blocks of a global order in which links are mostly between neighbours
 (for copies: by content), which is balanced to one row. Then each round lets every document
 look at the shards of its linked documents and ask for the shard most of them are in; of
-those who ask to go from shard a to b, as many go as want to go from b to a, the largest
-gains first. Such exchanges keep all counts, so the law of the start holds after each round.
+those who ask to go from shard a to b, as many go as want to go from b to a, or can be
+replaced by documents of b without links, the largest gains first. Such exchanges keep all
+counts, so the law of the start holds after each round.
 """
 
 from __future__ import annotations
@@ -28,20 +29,24 @@ def placed_by_order(nodes: DataFrame, order: list[str], shards: int = SHARDS) ->
     return ranked.withColumn("shard", F.floor(F.col("rank") * shards / F.lit(total)).cast("int"))
 
 
-def propagate(nodes: DataFrame, links: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def propagate(nodes: DataFrame, links: DataFrame, rounds: int = ROUNDS, follow: bool = False) -> DataFrame:
     """Moves nodes (``node``, ``shard``) towards their neighbours' shards; ``links`` has a, b.
 
     A node asks for the shard most neighbours are in, if more of them are there than in its
     own; among equal ones the lowest. Each round asks one half of the nodes, by hash, so that
     neighbours do not swap places; a round that cuts no fewer links is not taken. Links to unknown nodes, to oneself and nulls are ignored,
-    repeated links count repeatedly. The counts of all shards stay exactly as they are.
+    repeated links count repeatedly. With ``follow`` only a looks at b, so b stays in its place.
+    Nodes without links fill the places of those nobody comes back for. The counts of all shards
+    stay exactly as they are.
     """
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = stored(both.filter("a != b"), "links")
     shard = nodes.select("node", "shard")
+    asking = links.select("a", "b").filter("a != b") if follow else both
+    linked = both.select(F.col("a").alias("node")).distinct()
     links, cut = both.filter("a < b"), None
     for turn in range(rounds):
-        seen = both.join(shard.select(F.col("node").alias("b"), F.col("shard").alias("there")), "b")
+        seen = asking.join(shard.select(F.col("node").alias("b"), F.col("shard").alias("there")), "b")
         votes = seen.groupBy("a", "there").agg(F.count(F.lit(1)).alias("n"))
         here = votes.join(shard.select(F.col("node").alias("a"), "shard"), "a")
         wish = here.groupBy("a", "shard").agg(
@@ -54,29 +59,53 @@ def propagate(nodes: DataFrame, links: DataFrame, rounds: int = ROUNDS) -> DataF
         half = F.pmod(F.shiftright(F.xxhash64("node", F.lit(turn // 2)), 7), F.lit(2)) == turn % 2
         wish = wish.filter(half)
         wish = stored(wish, "wishes")
-        flows = wish.groupBy("shard", "target").agg(F.count(F.lit(1)).alias("n"))
-        back = flows.select(F.col("target").alias("shard"), F.col("shard").alias("target"), F.col("n").alias("m"))
-        quota = flows.join(back, ["shard", "target"]).select("shard", "target", F.least("n", "m").alias("quota"))
-        if quota.isEmpty():
+        flows = {(r["shard"], r["target"]): r["n"] for r in wish.groupBy("shard", "target").agg(
+            F.count(F.lit(1)).alias("n")).collect()}  # at most shards * shards rows
+        if not flows:
             continue
         cut = cut_links(shard, links) if cut is None else cut
+        free = shard.filter(F.col("shard").isin(sorted({t for _, t in flows}))).join(linked, "node", "left_anti")
+        free = stored(free, "free")
+        left = {r["shard"]: r["n"] for r in free.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
+        quota, fills = [], []
+        given = dict.fromkeys(left, 0)
+        for (x, y), n in sorted(flows.items()):
+            back = flows.get((y, x), 0)
+            fill = min(max(n - back, 0), left.get(y, 0) - given.get(y, 0))
+            quota.append((x, y, min(n, back) + fill))
+            if fill:
+                fills.append((y, x, given[y], given[y] + fill))
+                given[y] += fill
         # order within a pair of shards from one global order, so no task holds a whole pair
-        ranked = numbered(wish, ["shard", "target", F.desc("gain"), F.xxhash64("node")], "rank")
-        first = ranked.groupBy("shard", "target").agg(F.min("rank").alias("first"))
-        limits = first.join(quota, ["shard", "target"])  # at most shards * shards rows
-        moved = ranked.join(F.broadcast(limits), ["shard", "target"]).filter(
-            F.col("rank") - F.col("first") < F.col("quota")
-        ).select("node", "target")
+        moved = _first_of(wish, ["shard", "target"], [F.desc("gain")]).join(
+            F.broadcast(_rows(shard, quota, "shard int, target int, quota long")), ["shard", "target"]
+        ).filter("place < quota").select("node", "target")
+        if fills:
+            filling = _first_of(free, ["shard"], []).join(
+                F.broadcast(_rows(shard, fills, "shard int, target int, low long, high long")), "shard"
+            ).filter("place >= low and place < high").select("node", "target")
+            moved = moved.union(filling)
         after = stored(
             shard.join(moved, "node", "left").select("node", F.coalesce("target", "shard").alias("shard")),
             "shards",
         )
-        left = cut_links(after, links)
-        if left < cut:
-            shard, cut = after, left
+        now = cut_links(after, links)
+        if now < cut:
+            shard, cut = after, now
     return shard
 
 
+def _first_of(rows: DataFrame, group: list[str], order: list) -> DataFrame:
+    """``rows`` with their place (from 0) within the group, in the order, then by hash."""
+    ranked = numbered(rows, [*group, *order, F.xxhash64("node")], "rank")
+    first = ranked.groupBy(*group).agg(F.min("rank").alias("first"))  # at most shards * shards rows
+    return ranked.join(F.broadcast(first), group).withColumn("place", F.col("rank") - F.col("first"))
+
+
+def _rows(like: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
+    return like.sparkSession.createDataFrame(rows, schema)
+
+
 def cut_links(shard: DataFrame, links: DataFrame) -> int:
     """How many links join different shards."""
     a = shard.select(F.col("node").alias("a"), F.col("shard").alias("x"))
@@ -89,9 +118,9 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     apart, equal texts together as far as a shard holds them.
 
     Returns doc_id, size (UTF-8 bytes plus 1; null text: 1), text_crc32, law, shard, slot (0..
-    within the shard) and grown_shard (null under this law). Links join documents with equal
-    texts that follow each other by id, so a text with any number of copies gives every
-    document at most two links. Equal rows stay; a null doc_id is placed first among its copies.
+    within the shard) and grown_shard (null under this law). Every copy of a text is linked to the
+    one in the middle of its copies, which lies in the larger part where a border splits them,
+    and follows it there. Equal rows stay; a null doc_id is placed first among its copies.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     narrow = docs.select(
@@ -103,14 +132,11 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     nodes = placed_by_order(narrow, ["content", "text_crc32", "size", "doc_id"], shards)
     nodes = stored(nodes.withColumnRenamed("rank", "node"), "nodes")
     equal = ["content", "text_crc32", "size"]
-    after = nodes.select((F.col("node") - 1).alias("node"), *[F.col(c).alias(f"_{c}") for c in equal])
-    same = (F.col("content") == F.col("_content")) & (F.col("text_crc32") == F.col("_text_crc32")) & (
-        F.col("size") == F.col("_size")
-    )
-    links = nodes.join(after, "node").filter(same).select(
-        F.col("node").alias("a"), (F.col("node") + 1).alias("b")
-    )
-    shard = propagate(nodes, links, rounds)
+    copies = nodes.groupBy(*equal).agg(
+        (F.min("node") + F.floor(F.count(F.lit(1)) / 2)).alias("b"), F.count(F.lit(1)).alias("_n")
+    ).filter("_n > 1")
+    links = nodes.join(copies, equal).filter("node != b").select(F.col("node").alias("a"), "b")
+    shard = propagate(nodes, links, rounds, follow=True)
     final = nodes.drop("shard").join(shard, "node")
     order = numbered(final.select("node", "shard", "doc_id", "size", "text_crc32"), ["shard", "node"], "rank")
     counts = order.groupBy("shard").agg(F.min("rank").alias("first"))

@@ -295,6 +295,19 @@ def test_sharding(docs, nothing, spark):
     assert sharding.shard_documents(nothing).count() == 0
 
 
+def test_sharding_keeps_copies_together_over_borders(spark):
+    rows = [(i, f"copy {i % 12}") for i in range(60)] + [(100 + i, f"lone {i}") for i in range(67)]
+    found = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), shards=8).collect()
+    assert sorted(r.doc_id for r in found) == [d for d, _ in rows]
+    counts = collections.Counter(r.shard for r in found)
+    assert len(counts) == 8 and max(counts.values()) - min(counts.values()) <= 1
+    shards = collections.defaultdict(set)
+    for r in found:
+        if r.doc_id < 100:
+            shards[r.doc_id % 12].add(r.shard)
+    assert [len(s) for s in shards.values()] == [1] * 12
+
+
 def test_propagation_cuts_fewer_links_and_keeps_counts(spark):
     nodes = spark.createDataFrame([(i, i % 4) for i in range(80)], "node long, shard int")
     links = spark.createDataFrame([(i, j) for g in range(20) for i in range(4 * g, 4 * g + 4) for j in range(4 * g, i)], "a long, b long")
