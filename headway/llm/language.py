@@ -24,6 +24,7 @@ SYMBOLS = 64  # byte classes; rarer bytes share the last one
 TRAIN_CHARS = 400_000  # characters per language, the bound on the fitted sample
 TRAIN_ROWS = 600  # rows per language
 TRAIN_TEXT = 1 << 14  # characters of one training text
+STRETCHES = 16  # a longer text gives so many stretches, one of each of its equal parts
 UNKNOWN = "und"
 
 
@@ -107,13 +108,31 @@ def fit(texts: dict[str, list[str]], order: int = ORDER, symbols: int = SYMBOLS)
 
 
 def training_sample(docs: DataFrame, where: Column, rows: int = TRAIN_ROWS) -> DataFrame:
-    """At most ``rows`` texts per language, spread by hash: a bounded sample for fit()."""
+    """At most ``rows`` different texts per language, spread by hash: a bounded sample for fit()."""
     known = docs.filter(where & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    chance = F.xxhash64("text")
-    narrow = known.select("lang", chance.alias("_chance"), F.substring("text", 1, TRAIN_TEXT).alias("text"))
-    # per task the first rows of each language, then those of all tasks
-    order = Window.partitionBy("lang").orderBy("_chance", "text")
-    return narrow.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= rows).drop("_n", "_chance")
+    known = known.select("lang", F.xxhash64("text").alias("_chance"), "text")
+    # per task the first hashes of each language, then those of all tasks; copies share one
+    order = Window.partitionBy("lang").orderBy("_chance")
+    chosen = known.select("lang", "_chance").distinct().withColumn("_n", F.row_number().over(order))
+    chosen = chosen.filter(F.col("_n") <= rows).drop("_n")
+    found = known.join(F.broadcast(chosen), ["lang", "_chance"])  # ``rows`` hashes per language
+    once = found.select("lang", "_chance", _stretches().alias("text")).dropDuplicates(["lang", "_chance"])
+    return once.orderBy("lang", "_chance").drop("_chance")
+
+
+def _stretches() -> Column:
+    """The text, or of one longer than TRAIN_TEXT characters as many from all over it."""
+    length = TRAIN_TEXT // STRETCHES
+    part = F.floor(F.length("text") / STRETCHES)
+
+    def stretch(i: Column) -> Column:
+        start = i * part + F.pmod(F.xxhash64("_chance", i), part - length + 1) + 1
+        return F.substring("text", start.cast("int"), F.lit(length))
+
+    places = F.sequence(F.lit(0), F.lit(STRETCHES - 1))
+    return F.when(F.length("text") <= TRAIN_TEXT, F.col("text")).otherwise(
+        F.array_join(F.transform(places, stretch), "")
+    )
 
 
 def trained(docs: DataFrame, where: Column, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS,

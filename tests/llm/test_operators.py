@@ -381,6 +381,19 @@ def test_language(docs, nothing, spark):
     assert {r.lang_pred for r in language.identify(docs, language.fit({})).collect()} == {"und"}
 
 
+def test_training_sample_of_copies_and_long_texts(spark):
+    rows = [("a", f"text {i}") for i in range(6)]
+    rows += [("a", f"text {i}") for i in range(6) for _ in range(20)]
+    rows += [("b", "x" * 20_000 + "y" * 20_000 + "z" * 20_000), ("b", "x" * language.TRAIN_TEXT)]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    texts = collections.defaultdict(list)
+    for r in language.training_sample(docs, F.lit(True), 4).collect():
+        texts[r.lang].append(r.text)
+    assert len(texts["a"]) == len(set(texts["a"])) == 4
+    assert sorted(map(len, texts["b"])) == [language.TRAIN_TEXT] * 2
+    assert {"".join(sorted(set(t))) for t in texts["b"]} == {"x", "xyz"}
+
+
 def brute_quality(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
