@@ -7,10 +7,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.llm import (
-    decontamination, jaccard_join, language, licences, packing, page_text, pii, quality,
-    sharding, token_counts,
+    decontamination, jaccard_join, language, licences, merkle_log, packing, page_text, pii,
+    quality, sharding, token_counts,
 )
 from headway.llm.common import table
+from headway.llm.oracle import MERKLE
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -105,3 +106,10 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.contaminations(
         table(spark, folder, "documents"), table(spark, folder, "benchmark")
     )
+
+
+@query("op12_merkle_manifest", MERKLE)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """Merkle proofs of all documents; a fifth of them is checked against an altered text."""
+    docs = table(spark, folder, "documents")
+    return merkle_log.manifest(docs, held_out(), {"text": merkle_log.lowered()})
