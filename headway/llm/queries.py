@@ -7,11 +7,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.llm import (
-    decontamination, jaccard_join, language, licences, merkle_log, packing, page_text, pii,
-    quality, sharding, token_counts,
+    decontamination, hard_negatives, jaccard_join, language, licences, merkle_log, packing,
+    page_text, pii, quality, sharding, token_counts,
 )
 from headway.llm.common import table
-from headway.llm.oracle import MERKLE
+from headway.llm.oracle import HARD_NEGATIVES, MERKLE
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -113,3 +113,10 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
     """Merkle proofs of all documents; a fifth of them is checked against an altered text."""
     docs = table(spark, folder, "documents")
     return merkle_log.manifest(docs, held_out(), {"text": merkle_log.lowered()})
+
+
+@query("op13_hard_negatives", HARD_NEGATIVES)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector among all vectors."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, label=moved)
