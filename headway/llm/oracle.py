@@ -105,3 +105,25 @@ SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS n
 FROM positives JOIN scored USING (anchor_id)
 WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
 QUALIFY rank <= 3"""
+
+# All windows of all texts: for small tables only.
+REPEATS = """
+WITH texts AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, doc_id, encode(coalesce(text, '')) AS bytes FROM documents),
+windows AS MATERIALIZED (
+  SELECT id, pos, md5(bytes[pos + 1:pos + 200]) AS content
+  FROM texts, unnest(range(octet_length(bytes) - 199)) AS u(pos)),
+repeated AS MATERIALIZED (
+  SELECT id, pos FROM windows SEMI JOIN (SELECT content FROM windows GROUP BY content HAVING count(*) > 1) USING (content)),
+marked AS (
+  SELECT id, pos, coalesce(pos > lag(pos) OVER w + 200, true)::INT AS new FROM repeated WINDOW w AS (PARTITION BY id ORDER BY pos)),
+counted AS (SELECT id, pos, sum(new) OVER (PARTITION BY id ORDER BY pos) AS span FROM marked),
+spans AS MATERIALIZED (SELECT id, min(pos) AS start, max(pos) + 200 AS past FROM counted GROUP BY id, span),
+kept AS (
+  SELECT id, coalesce(lag(past) OVER (PARTITION BY id ORDER BY start), 0) AS a, start AS b FROM spans
+  UNION ALL SELECT id, coalesce((SELECT max(past) FROM spans WHERE spans.id = texts.id), 0), octet_length(bytes) FROM texts),
+joined AS (
+  SELECT id, string_agg(hex(bytes[a + 1:b]), '' ORDER BY a) AS rest FROM kept JOIN texts USING (id) GROUP BY id)
+SELECT doc_id, octet_length(bytes) AS n_bytes, octet_length(bytes) - length(rest) // 2 AS n_removed,
+  (SELECT count(*) FROM spans WHERE spans.id = texts.id) AS n_spans, sha256(unhex(rest)) AS kept_sha256
+FROM texts JOIN joined USING (id)"""

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from headway.llm import (
     decontamination, hard_negatives, jaccard_join, language, licences, merkle_log, packing,
-    page_text, pii, quality, sharding, token_counts,
+    page_text, pii, quality, repeats, sharding, token_counts,
 )
 from headway.llm.common import table
-from headway.llm.oracle import HARD_NEGATIVES, MERKLE
+from headway.llm.oracle import HARD_NEGATIVES, MERKLE, REPEATS
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -108,6 +108,12 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op11_repeats", REPEATS)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes of all documents outside of repeated strings of 200 bytes."""
+    return repeats.removed_repeats(table(spark, folder, "documents"))
+
+
 @query("op12_merkle_manifest", MERKLE)
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     """Merkle proofs of all documents; a fifth of them is checked against an altered text."""
