@@ -104,7 +104,8 @@ class Stretches:
         heads = np.concatenate(([0], new))
         self.first, self.last = starts[heads], starts[np.concatenate((new, [len(starts)])) - 1]
         self.anchor, self.text = anchors[heads], text[heads]
-        self.gram = hashes[self.anchor]
+        # the least hashes of windows are small; mixed once more they fill the whole range
+        self.gram = mixed(hashes[self.anchor])
 
 
 def _pieces(texts: pa.Array, window: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
