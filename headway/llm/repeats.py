@@ -521,7 +521,8 @@ def removed_repeats(
         texts.filter(F.octet_length("text") >= window).select("key", "text").mapInArrow(_asker(window), ANSWER),
         "anchors",
     )
-    counts = anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    # stored, so that the join is one of two plain exchanges, which are split where a gram is hot
+    counts = stored(anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1), "grams")
     shared = anchors.join(counts, "gram").select(
         "key", F.struct("at", (F.col("n") > hot).cast("long").alias("hot")).alias("place")
     )
