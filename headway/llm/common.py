@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -212,3 +212,24 @@ def shingle_sets(words: Words, n: int = 5) -> list[np.ndarray]:
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
+
+
+def groups(batches: Iterable[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.Table]:
+    """Consecutive rows with equal keys, one table each; a group may span batches."""
+    pending: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        marks = np.stack([column(batch, k).to_numpy(zero_copy_only=False) for k in keys])
+        cuts = np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1
+        edges = [0, *cuts.tolist(), batch.num_rows]
+        for a, b in zip(edges, edges[1:]):
+            mark = tuple(marks[:, a].tolist())
+            if pending and mark != last:
+                yield pa.Table.from_batches(pending)
+                pending = []
+            pending.append(batch.slice(a, b - a))
+            last = mark
+    if pending:
+        yield pa.Table.from_batches(pending)

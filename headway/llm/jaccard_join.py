@@ -1,4 +1,4 @@
-"""Grouped prefix join: all links of Jaccard similarity 0.8 or more between whole texts.
+"""Grouped prefix join: links of Jaccard similarity 0.8 or more between whole texts.
 
 Two texts can be similar only if the rarest of their shingles meet (prefix filter). The
 order of shingles is exact: every third one, chosen by its hash, is counted over the whole
@@ -14,6 +14,11 @@ unconnected at the end is compared pair by pair. No list is cut. Each text carri
 bit map of its set: the bits in which two maps differ are no more than the shingles in which
 the sets differ, so a pair whose maps differ too much is dropped inside the join.
 
+The rounds find which texts are connected. How many links each has is then counted inside the
+components, where all links are: classes of a component are dealt into blocks, every
+pair of blocks is one group, and its intersections are products of 0/1 matrices over the
+shingles that stand in it twice. Only counts leave a group, no pairs.
+
 Shuffled: 16 bytes per counted shingle, and for the few remaining texts their sets.
 """
 
@@ -27,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.llm.common import (
-    U64, column, row_key, shingle_sets, slices, stored, words_of,
+    U64, column, groups, row_key, shingle_sets, slices, stored, words_of,
 )
 
 COUNTED = 3  # every third shingle is counted
@@ -37,6 +42,8 @@ MAP = 8  # longs of a parity bit map
 BITS = [f"b{i}" for i in range(MAP)]
 FLUSH = 1 << 20  # shingles held by a task before it writes them out
 UNCOUNTED = 1 << 40  # stands behind every real count
+BLOCK_CLASSES = 1500  # classes of a component that are compared with as many others at once
+COLUMNS_AT_ONCE = 4096
 
 
 def needed(size: np.ndarray | int, percent: int):
@@ -171,13 +178,31 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """The rows with ``_key``, a long that rows share if and only if doc_id and text are equal.
+
+    The key is a hash of 64 bits. Rows whose keys are equal but whose second hashes differ
+    are found by one aggregation of both, and all but one of them get another key.
+    """
+    second = F.xxhash64(F.lit("second"), F.col("doc_id"), F.col("text"), F.length("text"))
+    hashed = docs.withColumn("_key", row_key("doc_id", "text"))
+    pairs = hashed.select("_key", second.alias("_second")).groupBy("_key").agg(
+        F.min("_second").alias("_least"), F.max("_second").alias("_most")
+    )
+    twins = stored(pairs.filter("_least != _most").select("_key", "_least"), "twins")
+    if twins.isEmpty():
+        return hashed
+    moved = F.when(second != F.col("_least"), F.xxhash64(second, F.col("_key"))).otherwise(F.col("_key"))
+    return hashed.join(twins, "_key", "left").withColumn("_key", F.coalesce(moved, "_key")).drop("_least")
+
+
 def profiles(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """Per distinct row of ``docs``: set size, set signature, prefix shared with others, and
+    """Per distinct row of ``docs``, which is ``keyed``: set size, set signature, prefix shared with others, and
     how many equal rows there are."""
     spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select("doc_id", "text", row_key("doc_id", "text").alias("_key"))
-    entries = rows.mapInArrow(_entries(words, percent, 8 * buckets), ENTRY_SCHEMA)
+    # buckets follow the input, so that one fits into the memory of a task
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
+    entries = docs.select("doc_id", "text", "_key").mapInArrow(_entries(words, percent, 8 * buckets), ENTRY_SCHEMA)
     shared = entries.repartition(buckets, "bucket").mapInArrow(_shared, SHARED_SCHEMA)
     listed = F.collect_list(F.when(F.col("hash").isNotNull(), F.struct("count", "hash")))
     per_text = shared.groupBy("key").agg(
@@ -273,7 +298,7 @@ def _only(docs: DataFrame, keys: DataFrame) -> DataFrame:
                     keep[own] = (bits.value[n][place[own] >> 3] >> (place[own] & 7)) & 1
             yield batch.filter(pa.array(keep))
 
-    rows = docs.select(row_key("doc_id", "text").alias("key"), "text")
+    rows = docs.select(F.col("_key").alias("key"), "text")
     near = rows.mapInArrow(run, "key long, text string")
     return near.join(keys, "key", "left_semi").dropDuplicates(["key"])
 
@@ -287,8 +312,72 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return found.filter(100 * both >= percent * union).select("a", "b")
 
 
-def _placed(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Per distinct row its class and component; ``first`` marks one of each component."""
+def _link_counts(first: pa.Table, block: int, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Classes of a group with the documents they are linked to in it.
+
+    The group holds the classes of one block, or of two, whose pairs across are counted.
+    """
+    key, docs = first["class"].to_numpy(), first["docs"].to_numpy()
+    sets = first["shingles"].combine_chunks()
+    size = sets.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    row = np.repeat(np.arange(len(key)), size)
+    _, shingle, count = np.unique(sets.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    often = count > 1
+    number = np.cumsum(often) - 1
+    kept = often[shingle]
+    row, shingle = row[kept], number[shingle[kept]]
+    order = np.argsort(shingle, kind="stable")
+    row, shingle = row[order], shingle[order]
+    side = first["block"].to_numpy() != block
+    left = np.flatnonzero(~side)
+    right = np.flatnonzero(side) if side.any() else left
+    place = np.zeros(len(key), np.int64)
+    place[left], place[right] = np.arange(len(left)), np.arange(len(right))
+    both = np.zeros((len(left), len(right)), np.float32)
+    for at in range(0, int(often.sum()), COLUMNS_AT_ONCE):
+        a, b = np.searchsorted(shingle, (at, at + COLUMNS_AT_ONCE))
+        marks = np.zeros((len(key), min(COLUMNS_AT_ONCE, int(often.sum()) - at)), np.float32)
+        marks[row[a:b], shingle[a:b] - at] = 1
+        both += marks[left] @ marks[right].T
+    union = size[left][:, None] + size[right][None, :] - both
+    linked = 100 * both >= percent * union
+    if right is left:
+        np.fill_diagonal(linked, False)
+    yield key[left], linked @ docs[right]
+    if right is not left:
+        yield key[right], linked.T @ docs[left]
+
+
+def counted_links(members: DataFrame, percent: int) -> DataFrame:
+    """Per class (``class``) the documents of other classes it is linked to (``linked``).
+
+    ``members`` has root, class, docs (documents of the class) and shingles. Classes of a
+    component are dealt into blocks by hash, and every pair of blocks meets in one group.
+    """
+    sizes = members.groupBy("root").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_CLASSES)).cast("int").alias("_blocks")
+    )
+    own = F.pmod(F.xxhash64("class"), F.col("_blocks")).cast("int")
+    dealt = members.join(stored(sizes, "sizes"), "root").withColumn("block", own)
+    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
+    met = dealt.withColumn("_other", other).select(
+        "root", F.least("block", "_other").alias("low"), F.greatest("block", "_other").alias("high"),
+        "block", "class", "docs", "shingles",
+    )
+    by = ["root", "low", "high"]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups(batches, by):
+            for key, linked in _link_counts(group, group["low"][0].as_py(), percent):
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(linked.astype(np.int64))], names=["class", "linked"])
+
+    found = met.repartition(*by).sortWithinPartitions(*by).mapInArrow(count, "class long, linked long")
+    return found.groupBy("class").agg(F.sum("linked").alias("linked"))
+
+
+def _placed(docs: DataFrame, words: int, percent: int, count: bool = False) -> DataFrame:
+    """Per distinct row its class and component; ``first`` marks one of each component, and
+    ``n_links`` counts the documents that it is linked to, if asked for."""
     profile = stored(profiles(docs, words, percent), "profiles")
     filled = profile.filter("size > 0")
     # equal sets: one class, named by its least key
@@ -377,18 +466,30 @@ def _placed(docs: DataFrame, words: int, percent: int) -> DataFrame:
         "doc_id", "copies", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id"),
         F.col("key").alias("class_id"), "key", F.lit(True).alias("first"),
     )
-    return placed.union(empty)
+    if not count:
+        return placed.union(empty)
+    in_class = of_key.groupBy("class").agg(F.sum("copies").alias("docs"))
+    nodes = linked.union(linked.select("root", "root").distinct())
+    members = nodes.join(in_class, "class").join(sets.withColumnRenamed("key", "class"), "class")
+    linked_docs = counted_links(members.select("root", "class", "docs", "shingles"), percent)
+    totals = in_class.join(linked_docs, "class", "left").select(
+        F.col("class").alias("class_id"),
+        (F.coalesce("linked", F.lit(0)) + F.col("docs") - 1).alias("n_links"),
+    )
+    none = empty.withColumn("n_links", F.lit(0).cast("bigint"))
+    return placed.join(totals, "class_id").select(*none.columns).union(none)
 
 
 def similar_texts(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """Links of similarity ``percent`` or more, closed to components.
 
-    Returns per row: doc_id, n_shingles, component_id (least doc_id of its component), and
-    class_id, which equal sets share. Null or blank texts have no shingles and no links. Equal
+    Returns per row: doc_id, n_shingles, component_id (least doc_id of its component),
+    class_id, which equal sets share, and n_links, the other rows it is linked to, those with an
+    equal set included. Null or blank texts have no shingles and no links. Equal
     rows stay as many rows. A null doc_id is a document; its component_id is null only if no
     member has an id. Other columns of ``docs`` are not read.
     """
-    every = _placed(docs, words, percent).drop("key", "first")
+    every = _placed(keyed(docs.select("doc_id", "text")), words, percent, count=True).drop("key", "first")
     once = every.filter("copies = 1").drop("copies")
     more = every.filter("copies > 1").select(
         "*", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("_i")
@@ -446,6 +547,6 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     """Of every component the row with the least doc_id (rows without one last); all columns
     stay. Of equal rows, in doc_id and text, one stays. Texts without words are all kept.
     """
-    others = _placed(docs, words, percent).filter("not first").select(F.col("key").alias("_key"))
-    rows = docs.withColumn("_key", row_key("doc_id", "text"))
+    rows = keyed(docs)
+    others = _placed(rows, words, percent).filter("not first").select(F.col("key").alias("_key"))
     return rows.join(others, "_key", "left_anti").dropDuplicates(["_key"]).select(*docs.columns)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import column, numbered, stored
+from headway.llm.common import groups, numbered, stored
 
 FAN = 4  # bits: 16 children
 SPAN = 3  # levels above its own nodes that one builder completes
@@ -73,27 +73,6 @@ def parent(children: Iterable[str]) -> str:
     return hashlib.sha256("".join(children).encode()).hexdigest()
 
 
-def groups(batches: Iterable[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.Table]:
-    """Consecutive rows with equal keys, one table each; a group may span batches."""
-    pending: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        marks = np.stack([column(batch, k).to_numpy(zero_copy_only=False) for k in keys])
-        cuts = np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1
-        edges = [0, *cuts.tolist(), batch.num_rows]
-        for a, b in zip(edges, edges[1:]):
-            mark = tuple(marks[:, a].tolist())
-            if pending and mark != last:
-                yield pa.Table.from_batches(pending)
-                pending = []
-            pending.append(batch.slice(a, b - a))
-            last = mark
-    if pending:
-        yield pa.Table.from_batches(pending)
-
-
 def _builder(base: int, schema: pa.Schema) -> Callable:
     """Completes the levels above consecutive nodes of level ``base``, in postorder."""
 

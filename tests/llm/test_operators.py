@@ -216,12 +216,31 @@ def brute_components(rows):
     return collections.Counter((d, len(s), least.get(top(i))) for i, (d, s) in enumerate(sets))
 
 
+def brute_links(rows):
+    """Per row how many other rows it is linked to."""
+    sets = [shingles(t) for _, t, *_ in rows]
+    return collections.Counter(
+        (rows[i][0], sum(
+            bool(a and b) and 100 * len(a & b) >= 80 * len(a | b) for j, b in enumerate(sets) if j != i
+        ))
+        for i, a in enumerate(sets)
+    )
+
+
+def test_keys_of_unequal_rows(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "row_key", lambda *c: F.lit(7).cast("bigint"))  # all collide
+    rows = [(i % 4, f"text {i % 5}") for i in range(40)] + [(None, None), (0, None)]
+    keyed = jaccard_join.keyed(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len({(r.doc_id, r.text) for r in keyed}) == len({r._key for r in keyed}) == 22
+
+
 def test_jaccard_join(spark, docs, nothing, monkeypatch):
     found = jaccard_join.similar_texts(docs).collect()
     got = collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in found)
     wanted = brute_components([(d, t) for d, t, *_ in ROWS])
     # equal rows without words have no class to share
     assert got == wanted
+    assert collections.Counter((r.doc_id, r.n_links) for r in found) == brute_links([(d, t) for d, t, *_ in ROWS])
     assert jaccard_join.similar_texts(nothing).count() == 0
 
 
@@ -236,8 +255,13 @@ def test_jaccard_join_of_near_copies(spark, monkeypatch):
             words[r.integers(60)] = f"new{r.integers(6)}"
         rows.append((i, " ".join(words)))
     rows += [(1000 + i, prose(50 + i % 20, int(r.integers(1, 40)))) for i in range(100)]
+    # blocks of a component smaller than it, and shingles in several portions
+    monkeypatch.setattr(jaccard_join, "BLOCK_CLASSES", 20)
     found = jaccard_join.similar_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert collections.Counter((x.doc_id, x.n_shingles, x.component_id) for x in found) == brute_components(rows)
+    links = brute_links(rows)
+    assert sum(n * c for (_, n), c in links.items()) > 2000
+    assert collections.Counter((x.doc_id, x.n_links) for x in found) == links
 
 
 def test_jaccard_join_of_a_sparse_family(spark):
@@ -339,9 +363,75 @@ def test_page_text(spark):
     assert page_text.main_texts(pages.filter("1 = 0")).count() == 0
 
 
-def test_longest_common_subsequence():
+@pytest.mark.parametrize("page, wanted", [
+    ('<article><p>a</p><svg width="1"/><p>kept</p></article>', "a\nkept"),
+    ("<article>a<svg><svg></svg>gone</svg>b<object><p>gone</object></article>c", "ab"),
+    ("<article><p>a<iframe>gone</article><p>b", "a"),
+    ('<article><p class="notice-period">a</p><p class="notice">gone</p></article>', "a"),
+    ("<article>a<button>gone</button>b<label>gone</label></article>", "ab"),
+    ("<article>a<script>if (x < 1) { '<p>' }", "a"),
+])
+def test_elements_that_hide_text(page, wanted):
+    found = page_text.lines(page)
+    best = max(place for _, place in found)
+    assert "\n".join(text for text, place in found if place == best) == wanted
+
+
+def test_neighbours_tell_site_lines(spark):
+    """Two fetches of a page learn from the next different one; a frame of most lines goes."""
+    frame = "".join(f"<div>Frame {i}</div>" for i in range(9))
+    pages = [(i, f"https://a.example/{i // 2}", f"{frame}<p>Own text {i // 2}</p>") for i in range(8)]
+    pages += [(100 + i, f"https://b.example/{i}", f"<div>Top</div><p>Text {i}</p>") for i in range(5)]
+    # a copy of a page under another address keeps its own lines
+    copied = "".join(f"<p>Story {i}</p>" for i in range(9))
+    pages += [(200, "https://c.example/a", f"{copied}<p>One</p>"), (201, "https://c.example/b", f"{copied}<p>Two</p>")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("shared", F.lit(1))
+    found = {r.page_id: r.text for r in page_text.main_texts(df).collect()}
+    story = "\n".join(f"Story {i}" for i in range(9))
+    wanted = {i: f"Own text {i // 2}" for i in range(8)} | {100 + i: f"Text {i}" for i in range(5)}
+    assert found == wanted | {200: f"{story}\nOne", 201: f"{story}\nTwo"}
+
+
+def test_main_texts_against_brute_force(spark):
+    r = np.random.default_rng(6)
+    pages = []
+    for i in range(60):
+        lines = [f"Line {r.integers(12)}" for _ in range(r.integers(0, 9))]
+        pages.append((i, f"https://h{r.integers(3)}.example/{r.integers(25)}", "".join(f"<p>{t}</p>" for t in lines)))
+    hosts = collections.defaultdict(dict)
+    own = {}
+    for i, url, html in pages:
+        host, path = re.match(r"https://([^/]*)(.*)", url).groups()
+        texts = tuple(t for t, _ in page_text.lines(html))
+        own[i] = (host, texts)
+        if texts:
+            hosts[host][texts] = min(path, hosts[host].get(texts, path))
+    found = {x.page_id: x.text for x in page_text.main_texts(
+        spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for i, (host, texts) in own.items():
+        if not texts:
+            assert found[i] == ""
+            continue
+        # of equal paths the order of the hashes decides: any order of them may be right
+        order = sorted(hosts[host].items(), key=lambda x: x[1])
+        paths = [p for _, p in order]
+        if len(set(paths)) < len(paths):
+            continue
+        at = [t for t, _ in order].index(texts)
+        near = [order[j][0] for j in (at - 2, at - 1, at + 1, at + 2) if 0 <= j < len(order)]
+        gone = set(page_text.site_lines(list(texts), [list(t) for t in near]))
+        assert found[i] == "\n".join(t for j, t in enumerate(texts) if j not in gone)
+
+
+def test_common_lines_of_many_equal_ones():
+    a, b = [0] * 30_000, [1] + [0] * 15_000 + [2] + [0] * 9_000
+    assert len(page_text.common_lines(a, b)) == 24_000
+
+
+def test_longest_common_subsequence(monkeypatch):
     r = np.random.default_rng(4)
-    for _ in range(300):
+    for i in range(300):
+        monkeypatch.setattr(page_text, "MATCHES", 200_000 if i % 2 else 3)
         a, b = r.integers(0, 5, r.integers(0, 12)).tolist(), r.integers(0, 5, r.integers(0, 12)).tolist()
         size = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
         for i, x in enumerate(a):
