@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -1204,10 +1205,9 @@ def _item(category, difficulty, table, guard, question, answer, criteria) -> str
 _ITEM_VIEWS = {
     "named": f"SELECT * EXCLUDE (rn), {O.NAME} AS name FROM listed",
     "sampled": f"""
-        SELECT * FROM (SELECT * EXCLUDE (rn), row_number() OVER (PARTITION BY feed_id
+        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY feed_id
             ORDER BY {O.seeded("route_id")}) AS draw
-        FROM ({O.first_n("(SELECT * FROM named WHERE route_short_name <> '')", 20, "feed_id",
-                         "_pos")})) WHERE draw = 1""",
+        FROM named WHERE route_short_name <> '') WHERE draw = 1""",
     "networks": f"""
         SELECT f.*, s.route_short_name AS described_name,
                {O.mode('coalesce(s.route_type, 3)')} AS described_mode,
@@ -1222,11 +1222,10 @@ _ITEM_VIEWS = {
             ORDER BY stop_count DESC, _pos) AS k FROM named) w ON w.feed_id = f.feed_id AND w.k = 1
         WHERE provider <> ''""",
     "timed": f"""
-        SELECT * FROM (SELECT * EXCLUDE (rn), row_number() OVER (PARTITION BY feed_id
+        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY feed_id
             ORDER BY {O.seeded("route_id")}) AS draw
-        FROM ({O.first_n('''(SELECT * FROM named WHERE route_short_name <> ''
-            AND first_departure <> '' AND last_departure <> '')''', 10, "feed_id", "_pos")}))
-        WHERE draw = 1""",
+        FROM named WHERE route_short_name <> '' AND first_departure <> ''
+            AND last_departure <> '') WHERE draw = 1""",
     "timetables": f"""
         SELECT t.*, provider, weekday_services, weekend_services, range_start, range_end,
                {_SPAN} AS span, {_HEADWAY} AS headway
@@ -1381,6 +1380,7 @@ _LINES_20 = f"""
                || coalesce(first_departure, '') || '-' || coalesce(last_departure, ''),
                chr(10) ORDER BY _pos) AS lines
     FROM listed WHERE rn <= 20 GROUP BY 1"""
+_LINES_ALL = _LINES_20.replace("WHERE rn <= 20", "")
 _CONTEXT = """
     SELECT f.feed_id, 'Agency: ' || a.agency_name || ' (timezone: '
                || coalesce(a.agency_timezone, '') || ')' || chr(10)
@@ -1406,6 +1406,40 @@ def _(b):
     return B.feed_context(b.kept)
 
 
+@query("feed_context_of_all_routes", with_stats(_CONTEXT, lines20=_LINES_ALL))
+def _(b):
+    return B.feed_context(replace(b.summary, context_routes=None).stored("route_stats", "feed_stats"))
+
+
+def _first_routes(n: str, condition: str) -> str:
+    """The draw from the first routes only, as ``described_from`` and ``timetabled_from`` ask."""
+    return f"""
+        SELECT * FROM (SELECT * EXCLUDE (rn), row_number() OVER (PARTITION BY feed_id
+            ORDER BY {O.seeded("route_id")}) AS draw
+        FROM ({O.first_n(f"(SELECT * FROM named WHERE {condition})", n, "feed_id", "_pos")}))
+        WHERE draw = 1"""
+
+
+@query(
+    "items_of_first_routes",
+    with_stats(
+        "\nUNION ALL ".join([*_ROUTE_ITEMS, *_SCHEDULE_ITEMS]),
+        **{
+            **_ITEM_VIEWS,
+            "sampled": _first_routes(20, "route_short_name <> ''"),
+            "timed": _first_routes(
+                10, "route_short_name <> '' AND first_departure <> '' AND last_departure <> ''"
+            ),
+        },
+    ),
+)
+def _(b):
+    first = replace(b.listed, described_from=20, timetabled_from=10)
+    first = first.stored("route_stats", "listed_routes")
+    items = B.route_items(first).unionByName(B.schedule_items(first))
+    return items.select(*_ITEM_COLUMNS)
+
+
 @query(
     "feed_prompt",
     with_stats(

@@ -60,13 +60,14 @@ def sample_n_per_feed(df: DataFrame, n: int, key: Sequence[str], seed: int) -> D
 
 def pick_one(
     df: DataFrame,
-    first_k: int,
+    first_k: int | None,
     key: Sequence[str],
     seed: int,
     order: Sequence[str | Column] = (POSITION,),
 ) -> DataFrame:
-    """One random row among the first k of every feed."""
-    return sample_n_per_feed(first_n_per_feed(df, first_k, order), 1, key, seed)
+    """One random row of every feed, among its first k or, without k, among all."""
+    rows = df if first_k is None else first_n_per_feed(df, first_k, order)
+    return sample_n_per_feed(rows, 1, key, seed)
 
 
 def pick_routes(

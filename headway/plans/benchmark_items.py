@@ -58,7 +58,10 @@ def feed_context(s: FeedSummary) -> DataFrame:
     first_agency = s.agency.groupBy(FEED).agg(
         F.min_by(F.struct("agency_name", "agency_timezone"), POSITION).alias("agency")
     )
-    shown = first_n(s.listed_routes, W.CONTEXT_LISTED_ROUTES, [FEED], [POSITION])
+    if s.context_routes is None:
+        shown = s.listed_routes.withColumn("_rank", F.col(POSITION))
+    else:
+        shown = first_n(s.listed_routes, s.context_routes, [FEED], [POSITION])
     shown = shown.withColumn("mode", route_mode()).withColumn(
         "name", F.when(F.col("route_short_name") != "", F.col("route_short_name")).otherwise(
             F.coalesce("route_long_name", F.lit(W.NAMELESS_ROUTE))

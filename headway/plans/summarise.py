@@ -51,7 +51,12 @@ class FeedSummary:
     """Lazy statistics of all feeds. ``stored`` keeps the shared ones.
 
     ``routes_listed`` and ``stations_listed`` keep the first rows of every feed only, in
-    lists and in the facts drawn from them; None keeps all.
+    lists and in the facts drawn from them; None keeps all. Questions are asked about
+    ``asked_routes``, ``asked_stops`` and ``asked_transfers`` of a feed. The route that is described and
+    the one whose timetable is asked for are drawn from the first ``described_from`` and
+    ``timetabled_from`` routes, by default from all. Texts list ``names_listed`` routes of a type,
+    ``multimodal_listed`` feeds and ``context_routes`` routes of a feed; None lists all, which
+    makes a text as long as the feed.
     """
 
     tables: FeedTables
@@ -64,6 +69,14 @@ class FeedSummary:
     seed: int = 42
     routes_listed: int | None = None
     stations_listed: int | None = None
+    asked_routes: int = 15
+    asked_stops: int = 30
+    asked_transfers: int = 15
+    described_from: int | None = None
+    timetabled_from: int | None = None
+    names_listed: int = 15
+    multimodal_listed: int | None = 8
+    context_routes: int | None = 20
 
     @property
     def feeds(self) -> DataFrame:

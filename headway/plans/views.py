@@ -27,11 +27,6 @@ from headway.plans import wording as W
 from headway.plans.summarise import FeedSummary
 from headway.schema import FEED, POSITION
 
-ROUTES_PER_FEED = 15
-STOPS_PER_FEED = 30
-TRANSFERS_PER_FEED = 15
-NAMES_LISTED = 15
-
 
 def _rank_text(c: str) -> Column:
     """A number as text that sorts like the number."""
@@ -100,7 +95,7 @@ def _times_shown() -> dict[str, Column]:
 
 def route_view(s: FeedSummary) -> DataFrame:
     """The routes picked for questions."""
-    picked = R.pick_routes(s.listed_routes, ROUTES_PER_FEED, s.seed)
+    picked = R.pick_routes(s.listed_routes, s.asked_routes, s.seed)
     return _described(picked, s).withColumn("item", _rank_text("pick"))
 
 
@@ -112,7 +107,7 @@ def route_type_view(s: FeedSummary) -> DataFrame:
         .select(FEED, F.col("route_type").cast("int").alias("route_type"), "name", POSITION)
     )
     totals = named.groupBy(FEED, "route_type").agg(F.count(F.lit(1)).alias("n"))
-    first = R.first_n(named, NAMES_LISTED, [FEED, "route_type"], [POSITION])
+    first = R.first_n(named, s.names_listed, [FEED, "route_type"], [POSITION])
     names = first.groupBy(FEED, "route_type").agg(
         F.array_sort(F.collect_list(F.struct("_rank", "name"))).alias("names")
     )
@@ -121,21 +116,21 @@ def route_type_view(s: FeedSummary) -> DataFrame:
         totals.join(names, [FEED, "route_type"])
         .join(s.feeds.select(FEED, "provider"), FEED)
         .withColumn("names", F.array_join(shown, ", "))
-        .withColumn("more", F.col("n") - NAMES_LISTED)
+        .withColumn("more", F.col("n") - s.names_listed)
         .withColumn("mode", route_type_name(F.col("route_type")))
         .withColumn("item", _rank_text("route_type"))
     )
 
 
 def stop_view(s: FeedSummary) -> DataFrame:
-    drawn = s.sample_stops.where(F.col("draw") <= STOPS_PER_FEED)
+    drawn = s.sample_stops.where(F.col("draw") <= s.asked_stops)
     return drawn.join(s.feeds.select(FEED, "provider"), FEED).withColumn(
         "item", _rank_text("draw")
     )
 
 
 def transfer_view(s: FeedSummary) -> DataFrame:
-    drawn = s.sample_transfers.where(F.col("draw") <= TRANSFERS_PER_FEED)
+    drawn = s.sample_transfers.where(F.col("draw") <= s.asked_transfers)
     return (
         drawn.join(s.feeds.select(FEED, "provider"), FEED)
         .withColumn("kind", transfer_type_name(F.col("transfer_type")))
@@ -211,13 +206,13 @@ def _pair_columns(s: FeedSummary) -> DataFrame:
 
 
 def multimodal_view(s: FeedSummary) -> DataFrame:
-    """The first feeds with several modes as one text."""
+    """Feeds with several modes as one text."""
     several = (
         s.feed_stats.withColumn("modes", F.size("by_type"))
         .where("modes > 1")
-        .orderBy(FEED)
-        .limit(W.MULTIMODAL_LISTED)
     )
+    if s.multimodal_listed is not None:
+        several = several.orderBy(FEED).limit(s.multimodal_listed)
     listed = F.array_sort(
         F.collect_list(F.struct(FEED, fill(W.MULTIMODAL_ENTRY).alias("text")))
     )
@@ -260,7 +255,7 @@ def network_view(s: FeedSummary) -> DataFrame:
     """One row per feed with a provider and listed routes, for benchmark questions."""
     named = s.listed_routes.withColumn("name", _name())
     described = R.pick_one(
-        s.listed_routes.where("route_short_name <> ''"), 20, ["route_id"], s.seed
+        s.listed_routes.where("route_short_name <> ''"), s.described_from, ["route_id"], s.seed
     ).select(
         FEED,
         F.col("route_short_name").alias("described_name"),
@@ -287,7 +282,7 @@ def network_view(s: FeedSummary) -> DataFrame:
 
 def timetable_view(s: FeedSummary) -> DataFrame:
     """One scheduled route per feed with its span, headway and the feed's calendar."""
-    route = R.pick_one(scheduled_routes(s.listed_routes), 10, ["route_id"], s.seed)
+    route = R.pick_one(scheduled_routes(s.listed_routes), s.timetabled_from, ["route_id"], s.seed)
     first, last = F.col("first_departure"), F.col("last_departure")
     calendar = s.feed_stats.where("provider <> ''").select(
         FEED, "provider", "weekday_services", "weekend_services", "range_start", "range_end"

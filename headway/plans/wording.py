@@ -327,7 +327,6 @@ MULTIMODAL = Template(
     ],
 )
 MULTIMODAL_ENTRY = "{provider} ({modes} modes)"
-MULTIMODAL_LISTED = 8
 
 COUNTRIES = Template(
     "comparative", "countries", "countries",
@@ -486,7 +485,6 @@ CONTEXT_NETWORK = (
     "Network: {total_trips} total trips, avg {avg_stops} stops/route, avg {avg_trips}"
     " trips/route"
 )
-CONTEXT_LISTED_ROUTES = 20
 NAMELESS_ROUTE = "?"
 UNSHOWN_MODE = "unknown"
 PROMPT = (
