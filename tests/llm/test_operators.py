@@ -192,11 +192,16 @@ def test_personal_data(docs, nothing):
     assert pii.find_personal_data(nothing, pii.train([])).count() == 0
 
 
-def brute_components(rows):
+def brute_sets(rows):
     sets = []
     for doc_id, text in rows:
         w = [x.lower() for x in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
         sets.append((doc_id, frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) or (frozenset([tuple(w)]) if w else frozenset())))
+    return sets
+
+
+def brute_components(rows):
+    sets = brute_sets(rows)
     parent = list(range(len(sets)))
 
     def top(x):
@@ -218,7 +223,7 @@ def brute_components(rows):
 
 def brute_links(rows):
     """Per row how many other rows it is linked to."""
-    sets = [shingles(t) for _, t, *_ in rows]
+    sets = [s for _, s in brute_sets(rows)]
     return collections.Counter(
         (rows[i][0], sum(
             bool(a and b) and 100 * len(a & b) >= 80 * len(a | b) for j, b in enumerate(sets) if j != i
