@@ -101,8 +101,8 @@ def _matches(catalog: DataFrame, targets: DataFrame) -> DataFrame:
     hit = (F.col("country_code") == F.col("target_country")) & F.rlike(
         F.col("provider"), F.concat(F.lit("(?iu)"), F.col("search_term"))
     )
-    # the targets are a short list given by the user
-    return catalog.join(F.broadcast(targets), hit)
+    # without a hint: Spark knows the size of the user's list and broadcasts a short one
+    return catalog.join(targets, hit)
 
 
 def select_seed_feeds(

@@ -17,9 +17,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.schema import FEED, POSITION
-from headway.session import materialise
+from headway.session import kept, materialise
 
-SLOT_DIGITS = 3  # leading hex digits of the hash, 4,096 slots
+SLOT_DIGITS = 3  # leading hex digits of the hash, 4,096 slots at least
+SLOT_ROWS = 100_000  # rows of a slot that one task ranks
+
+
+def slot_digits(rows: int) -> int:
+    """Leading hex digits of a hash by which so many rows fall into slots of bounded size."""
+    digits = SLOT_DIGITS
+    while rows > SLOT_ROWS << 4 * digits:
+        digits += 1
+    return digits
 
 
 def seeded(key: Sequence[str], seed: int) -> Column:
@@ -123,11 +132,11 @@ def slot_ranks(
 ) -> DataFrame:
     """Every row with its random rank 1..N (``rank``) inside its group.
 
-    Rows are ranked inside hash slots; the slots' counts, at most 4,096 rows per group,
-    give the rank each slot starts from. No task handles a whole group.
+    Rows are ranked inside hash slots; the slots' counts give the rank each slot starts from.
+    There are more slots for more rows, so no task handles a whole group.
     """
     hashed = df.withColumn("_hash", seeded(key, seed)).withColumn(
-        "_slot", F.substring("_hash", 1, SLOT_DIGITS)
+        "_slot", F.substring("_hash", 1, slot_digits(df.count()))
     )
     before = Window.partitionBy(*by).orderBy("_slot").rowsBetween(
         Window.unboundedPreceding, -1
@@ -252,7 +261,8 @@ def stratified_split(
     their columns are, and copies of a row are handled as one row with a weight.
 
     Only hash slots are counted per category. The rows of the one slot the border falls
-    into are ranked, everything else is decided by comparing hashes.
+    into are ranked, everything else is decided by comparing hashes. What is found per category
+    is kept as a small table, so that rows meet it where they are and are not exchanged.
     """
     stratum = F.coalesce(F.col(by), F.lit("unknown"))
     columns = pairs.columns
@@ -266,7 +276,7 @@ def stratified_split(
     hashed = (
         rows.withColumn("_stratum", stratum)
         .withColumn("_hash", seeded(key, seed))
-        .withColumn("_slot", F.substring("_hash", 1, SLOT_DIGITS))
+        .withColumn("_slot", F.substring("_hash", 1, slot_digits(pairs.count())))
         .withColumn("_key", told_apart)
     )
 
@@ -289,6 +299,7 @@ def stratified_split(
         .where("_upto >= _wanted and _upto - _size < _wanted")
         .select("_stratum", "_slot", (F.expr("_wanted - (_upto - _size)")).alias("_need"))
     )
+    border = kept(border, "border")
     # the rows of one slot per category
     running = per_stratum.orderBy("_hash", "_key").rowsBetween(Window.unboundedPreceding, 0)
     last_train = (
@@ -304,6 +315,7 @@ def stratified_split(
             F.expr("_need - (_upto - _copies)").alias("_last_copies"),
         )
     )
+    last_train = kept(last_train, "last")
     place = F.struct("_hash", "_key")
     marked = hashed.join(last_train, "_stratum", "left").withColumn(
         "_train",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
@@ -44,6 +46,15 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table of known size: a small one is broadcast where it is joined, a large
+    one is not."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/headway-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there, in any file system Spark can reach."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

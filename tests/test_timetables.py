@@ -256,3 +256,37 @@ def test_sketches_of_feeds_are_merged(spark):
                 below, upto = sum(h < value for h in held), sum(h <= value for h in held)
                 slack = U.RANK_ERROR * len(held) + 1
                 assert below <= q * len(held) + slack and upto >= q * len(held) - slack
+
+
+def test_paths_in_documents_of_unlike_shape(spark):
+    from headway.sources import paths as J
+
+    texts = [
+        '{"a": {"b": [1, {"c": null}, []]}, "d": "x"}', '{"a": 5}', "[[true], {}]", '"just text"', "12.5", "{", "", None,
+        '{"a": {"b": [2, 3]}, "d": {}, "e.f": 1}',
+    ]
+    df = J.parse_documents(spark.createDataFrame(list(enumerate(texts)), "id int, text string"), "text")
+    assert [r.id for r in df.where("document is null").orderBy("id").collect()] == [5, 6, 7]
+    found = J.leaves(df, "id")
+    want = [
+        (0, "$.a.b[*]", "number", "1"), (0, "$.a.b[*].c", "null", None), (0, "$.a.b[*]", "array", None),
+        (0, "$.d", "string", "x"), (1, "$.a", "number", "5"), (2, "$[*][*]", "boolean", "true"),
+        (2, "$[*]", "object", None), (3, "$", "string", "just text"), (4, "$", "number", "12.5"),
+        (8, "$.a.b[*]", "number", "2"), (8, "$.a.b[*]", "number", "3"), (8, "$.d", "object", None),
+        (8, "$.e.f", "number", "1"),
+    ]
+    assert rows(found, "id", "path", "kind", "text") == sorted(want, key=repr)
+    report = {(r.path, r.kind): (r.documents, r.n) for r in J.path_report(found, "id").collect()}
+    assert report["$.a.b[*]", "number"] == (2, 3)
+    values = J.values_at(df, {"b": ("$.a.b[1]", "int"), "a": ("$.a", "int"), "d": ("$.d", "string")})
+    got = {r.id: (r.b, r.a) for r in values.collect()}
+    assert got[8] == (3, None) and got[1] == (None, 5) and got[0] == (None, None) and got[5] == (None, None)
+    assert J.leaves(df.where("1 = 0"), "id").count() == 0
+
+
+def test_slots_grow_with_the_rows():
+    from headway.operators.ranking import SLOT_ROWS, slot_digits
+
+    assert slot_digits(0) == slot_digits(10**8) == 3
+    for rows_ in (10**9, 10**11, 10**13):
+        assert rows_ / 16 ** slot_digits(rows_) <= SLOT_ROWS
