@@ -448,30 +448,71 @@ def test_longest_common_subsequence(monkeypatch):
         assert all(a[p] in rest for p in places)
 
 
+def brute_code(model, samples, language_name, text, order, least):
+    """Bits of a text, counted and excluded symbol by symbol."""
+    def classes(t):
+        return [int(model.symbol[b]) for b in language.LOWER[np.frombuffer(t.encode(), np.uint8)]]
+
+    size = len(model.share)
+    counts = collections.defaultdict(collections.Counter)
+    sym = classes("\n".join(samples[language_name]))
+    for k in range(order + 1):
+        padded = [0] * k + sym
+        for i, s in enumerate(sym):
+            counts[tuple(padded[i : i + k])][s] += 1
+
+    def chances(context):
+        own = counts.get(context)
+        if context and (own is None or own.total() < least):
+            return chances(context[1:])
+        lower = chances(context[1:]) if context else [1 / size] * size
+        rest = sum(p for s, p in enumerate(lower) if s not in own)
+        escape = len(own) if rest > 1e-9 else 0
+        return [
+            own[s] / (own.total() + escape) if s in own
+            else escape / (own.total() + escape) * lower[s] / rest if rest > 1e-9 else 0
+            for s in range(size)
+        ]
+
+    bits, before = 0.0, [0] * order
+    for s in classes(text):
+        row = chances(tuple(before[len(before) - order :]))
+        assert abs(sum(row) - 1) < 1e-6
+        bits += -np.log2(max(row[s], 1e-12)) + model.share[s]
+        before.append(s)
+    return bits
+
+
+@pytest.mark.parametrize("order, least", [(0, 1), (2, 1), (4, 3)])
+def test_code_lengths(order, least):
+    samples = {"en": [prose(i, 60) for i in range(3)], "fr": ["écrire été là-bas où " * 9, "Où?\tlà"], "none": [""]}
+    model = language.fit(samples, order, least)
+    assert model.languages == ["en", "fr"]
+    texts = ["the of and", "Écrire  the été\n", "", "zz日本 of1", prose(9, 20), None, "o"]
+    bits = model.bits(pa.array(texts))
+    for text, row in zip(texts, bits):
+        wanted = [brute_code(model, samples, g, text or "", order, least) for g in model.languages]
+        assert np.allclose(wanted, row[:-1], rtol=1e-4, atol=1e-3)
+
+
+def test_long_texts_are_coded_whole():
+    model = language.fit({"en": [prose(1, 300)]})
+    text = prose(3, 150_000)  # over several steps
+    parts = [text[i : i + 1000] for i in range(0, len(text), 1000)]
+    whole, pieces = model.bits(pa.array([text]))[0], model.bits(pa.array(parts)).sum(axis=0)
+    assert abs(whole[0] - pieces[0]) < 0.02 * whole[0] and abs(whole[1] - pieces[1]) < 1
+
+
 def test_language(docs, nothing, spark):
     samples = {"en": [prose(i, 200) for i in range(3)], "xx": ["zzq qqz zqzq " * 50]}
-    model = language.fit(samples, order=2)
-    assert model.languages == ["en", "xx"]
-    texts = ["the of and", "zzq zqz", "", "aé"]
-    bits = model.bits(pa.array(texts))
-    size = int(model.symbol.max()) + 1
-    for t, row in zip(texts, bits):
-        context, total = [0, 0], np.zeros(2)
-        for byte in t.lower().encode():
-            s = int(model.symbol[byte])
-            total += model.table[(context[-2] * size + context[-1]) * size + s]
-            context.append(s)
-        assert np.allclose(total, row, atol=1e-2)
-    # frozen statistics: successors of a context have probabilities that sum to one
-    share = np.zeros(size)
-    share[0], share[-1] = np.log2(6), np.log2((model.symbol == size - 1).sum())
-    chance = np.exp2(-(model.table[:, 0].reshape(-1, size) - share)).sum(axis=1)
-    assert np.allclose(chance, 1, atol=1e-3)
+    model = language.fit(samples)
     found = language.identify(docs, model).collect()
     assert len(found) == len(ROWS)
     by_id = {r.doc_id: r for r in found}
     assert by_id[5].lang_pred == by_id[4].lang_pred == by_id[7].lang_pred == "und"
-    assert by_id[8].lang_pred == "en" and 0 <= by_id[8].score <= 1
+    assert by_id[8].lang_pred == "en" and 0.2 < by_id[8].score <= 1 and by_id[5].score == 0
+    noise = spark.createDataFrame([(1, "".join(chr(97 + (i * i * 7919 + i // 5) % 26) for i in range(900)))], "doc_id long, text string")
+    assert language.identify(noise, model).first().score == 0
     assert language.identify(nothing, language.fit({})).count() == 0
     assert {r.lang_pred for r in language.identify(docs, language.fit({})).collect()} == {"und"}
 
