@@ -130,6 +130,41 @@ def test_token_files_without_a_last_separator(spark):
     assert found == [(0, 0, 1, True), (1, 2, 0, True), (2, 3, 3, False)]
 
 
+def test_ids_of_all_given_documents():
+    """The rank file gives the ids of the JSON file, on every document and on odd texts."""
+    import pyarrow.parquet as pq
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet")["text"].drop_null().to_pylist()
+    r = np.random.default_rng(2)
+    odd = ["".join(chr(c) for c in r.choice([*range(9, 14), 32, 39, *range(48, 123), 233, 8364, 0x1F600], 80)) for _ in range(300)]
+    for text in [*texts, *odd, "a<|endoftext|>b"]:
+        assert packing.encoded(text, RANKS).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_packing_of_conversations(spark):
+    """Examples whose tokens, turns and loss-bearing tokens differ, under limits that all bind."""
+    turns = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
+    size = F.size(F.split("text", " "))
+    examples = turns.groupBy("conv_id").agg(
+        F.sum(size).alias("tokens"), F.count(F.lit(1)).alias("segments"),
+        F.sum(F.when(F.col("role") == "assistant", size).otherwise(0)).alias("loss"),
+    )
+    rows = examples.collect()
+    limits = tuple(4 * max(r[c] for r in rows) for c in ("tokens", "segments", "loss"))
+    found = packing.pack_examples(examples.repartition(1), "conv_id", "tokens", "segments", "loss", limits).collect()
+    assert sorted(r.conv_id for r in found) == sorted(r.conv_id for r in rows)
+    sums = collections.defaultdict(lambda: np.zeros(3))
+    for r in found:
+        sums[r.sequence_id] += (r.tokens, r.segments, r.loss)
+    assert all((s <= limits).all() for s in sums.values())
+    assert sum(r.loss < r.tokens for r in rows) > 0.5 * len(rows)
+    # not far from the least number that any of the limits allows
+    total = sum(sums.values())
+    assert len(sums) <= 1.3 * (total / limits).max() + 2
+
+
 def brute_spans(text: str) -> str:
     patterns = {
         "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
