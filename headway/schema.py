@@ -17,14 +17,37 @@ POSITION_TYPE = T.StructType(
     [T.StructField("part", T.LongType()), T.StructField("row", T.LongType())]
 )
 
-# Column types of the GTFS reference, every other column is text.
-TYPED_COLUMNS = {
-    "tinyint": "direction_id wheelchair_accessible bikes_allowed location_type "
-    "wheelchair_boarding pickup_type drop_off_type timepoint monday tuesday wednesday "
-    "thursday friday saturday sunday exception_type transfer_type exact_times",
-    "smallint": "route_type",
-    "int": "route_sort_order stop_sequence shape_pt_sequence min_transfer_time headway_secs",
-    "double": "stop_lat stop_lon shape_dist_traveled shape_pt_lat shape_pt_lon",
+# Column types of the GTFS reference, table by table; every other column is text.
+COLUMN_TYPES = {
+    "route_type": "smallint",
+    "route_sort_order": "int",
+    "direction_id": "tinyint",
+    "wheelchair_accessible": "tinyint",
+    "bikes_allowed": "tinyint",
+    "stop_lat": "double",
+    "stop_lon": "double",
+    "location_type": "tinyint",
+    "wheelchair_boarding": "tinyint",
+    "stop_sequence": "int",
+    "pickup_type": "tinyint",
+    "drop_off_type": "tinyint",
+    "shape_dist_traveled": "double",
+    "timepoint": "tinyint",
+    "monday": "tinyint",
+    "tuesday": "tinyint",
+    "wednesday": "tinyint",
+    "thursday": "tinyint",
+    "friday": "tinyint",
+    "saturday": "tinyint",
+    "sunday": "tinyint",
+    "exception_type": "tinyint",
+    "shape_pt_lat": "double",
+    "shape_pt_lon": "double",
+    "shape_pt_sequence": "int",
+    "transfer_type": "tinyint",
+    "min_transfer_time": "int",
+    "headway_secs": "int",
+    "exact_times": "tinyint",
 }
 
 _SPARK_TYPES = {
@@ -34,7 +57,6 @@ _SPARK_TYPES = {
     "double": T.DoubleType(),
     "string": T.StringType(),
 }
-_TYPE_OF = {col: kind for kind, cols in TYPED_COLUMNS.items() for col in cols.split()}
 
 
 @dataclass(frozen=True)
@@ -56,7 +78,7 @@ class TableSpec:
         return f"{self.name}.txt"
 
     def type_of(self, column: str) -> str:
-        return _TYPE_OF.get(column, "string")
+        return COLUMN_TYPES.get(column, "string")
 
     @property
     def struct(self) -> T.StructType:
@@ -66,83 +88,95 @@ class TableSpec:
         return T.StructType(fields)
 
 
-def _spec(name, required, optional="", key="", required_file=False) -> TableSpec:
-    return TableSpec(
-        name, tuple(required.split()), tuple(optional.split()), tuple(key.split()), required_file
-    )
-
-
 # The GTFS files read, their columns in canonical order and their keys.
 TABLES: dict[str, TableSpec] = {
     spec.name: spec
     for spec in (
-        _spec(
+        TableSpec(
             "agency",
-            "agency_id agency_name agency_url agency_timezone",
-            "agency_lang agency_phone agency_fare_url agency_email",
-            key="agency_id",
+            required=("agency_id", "agency_name", "agency_url", "agency_timezone"),
+            optional=("agency_lang", "agency_phone", "agency_fare_url", "agency_email"),
+            key=("agency_id",),
             required_file=True,
         ),
-        _spec(
+        TableSpec(
             "routes",
-            "route_id route_short_name route_long_name route_type",
-            "agency_id route_desc route_url route_color route_text_color route_sort_order",
-            key="route_id",
+            required=("route_id", "route_short_name", "route_long_name", "route_type"),
+            optional=(
+                "agency_id", "route_desc", "route_url", "route_color", "route_text_color",
+                "route_sort_order",
+            ),
+            key=("route_id",),
             required_file=True,
         ),
-        _spec(
+        TableSpec(
             "trips",
-            "route_id service_id trip_id",
-            "trip_headsign trip_short_name direction_id block_id shape_id "
-            "wheelchair_accessible bikes_allowed",
-            key="trip_id",
+            required=("route_id", "service_id", "trip_id"),
+            optional=(
+                "trip_headsign", "trip_short_name", "direction_id", "block_id", "shape_id",
+                "wheelchair_accessible", "bikes_allowed",
+            ),
+            key=("trip_id",),
             required_file=True,
         ),
-        _spec(
+        TableSpec(
             "stops",
-            "stop_id stop_name stop_lat stop_lon",
-            "stop_code stop_desc zone_id stop_url location_type parent_station "
-            "stop_timezone wheelchair_boarding platform_code",
-            key="stop_id",
+            required=("stop_id", "stop_name", "stop_lat", "stop_lon"),
+            optional=(
+                "stop_code", "stop_desc", "zone_id", "stop_url", "location_type",
+                "parent_station", "stop_timezone", "wheelchair_boarding", "platform_code",
+            ),
+            key=("stop_id",),
             required_file=True,
         ),
-        _spec(
+        TableSpec(
             "stop_times",
-            "trip_id arrival_time departure_time stop_id stop_sequence",
-            "stop_headsign pickup_type drop_off_type shape_dist_traveled timepoint",
-            key="trip_id stop_sequence",
+            required=("trip_id", "arrival_time", "departure_time", "stop_id", "stop_sequence"),
+            optional=(
+                "stop_headsign", "pickup_type", "drop_off_type", "shape_dist_traveled",
+                "timepoint",
+            ),
+            key=("trip_id", "stop_sequence"),
             required_file=True,
         ),
-        _spec(
+        TableSpec(
             "calendar",
-            "service_id monday tuesday wednesday thursday friday saturday sunday "
-            "start_date end_date",
-            key="service_id",
+            required=(
+                "service_id", "monday", "tuesday", "wednesday", "thursday", "friday", "saturday",
+                "sunday", "start_date", "end_date",
+            ),
+            key=("service_id",),
+        ),
+        TableSpec(
+            "calendar_dates",
+            required=("service_id", "date", "exception_type"),
+            key=("service_id", "date"),
         ),
-        _spec("calendar_dates", "service_id date exception_type", key="service_id date"),
-        _spec(
+        TableSpec(
             "shapes",
-            "shape_id shape_pt_lat shape_pt_lon shape_pt_sequence",
-            "shape_dist_traveled",
-            key="shape_id shape_pt_sequence",
+            required=("shape_id", "shape_pt_lat", "shape_pt_lon", "shape_pt_sequence"),
+            optional=("shape_dist_traveled",),
+            key=("shape_id", "shape_pt_sequence"),
         ),
-        _spec(
+        TableSpec(
             "transfers",
-            "from_stop_id to_stop_id",
-            "transfer_type min_transfer_time",
-            key="from_stop_id to_stop_id",
+            required=("from_stop_id", "to_stop_id"),
+            optional=("transfer_type", "min_transfer_time"),
+            key=("from_stop_id", "to_stop_id"),
         ),
-        _spec(
+        TableSpec(
             "frequencies",
-            "trip_id start_time end_time headway_secs",
-            "exact_times",
-            key="trip_id start_time",
+            required=("trip_id", "start_time", "end_time", "headway_secs"),
+            optional=("exact_times",),
+            key=("trip_id", "start_time"),
         ),
-        _spec(
+        TableSpec(
             "feed_info",
-            "feed_publisher_name feed_publisher_url feed_lang",
-            "feed_start_date feed_end_date feed_version feed_contact_email "
-            "feed_contact_url default_lang",
+            required=("feed_publisher_name", "feed_publisher_url", "feed_lang"),
+            optional=(
+                "feed_start_date", "feed_end_date", "feed_version", "feed_contact_email",
+                "feed_contact_url", "default_lang",
+            ),
         ),
     )
 }
