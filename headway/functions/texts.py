@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -89,31 +89,48 @@ def tokens(text: Column) -> Column:
     return F.filter(parts, lambda t: t != "")
 
 
-def _common_length(a, b) -> int:
+def _common_length(a: list[str], b: list[str]) -> int:
     """Length of the longest common subsequence of two token lists.
 
-    Bit i of ``gaps`` is cleared when the i-th token of ``a`` ends a longer match, so one
-    addition on a len(a)-bit number handles a whole row of the usual table.
+    Common ends are taken off first. Bit i of ``gaps`` is cleared when the i-th token of ``a``
+    ends a longer match, so one addition on a len(a)-bit number handles a whole row of the
+    usual table.
     """
+    start, end = 0, min(len(a), len(b))
+    while start < end and a[start] == b[start]:
+        start += 1
+    back, most = 0, end - start
+    while back < most and a[-1 - back] == b[-1 - back]:
+        back += 1
+    a, b = a[start : len(a) - back], b[start : len(b) - back]
     where: dict[str, int] = {}
     for i, token in enumerate(a):
         where[token] = where.get(token, 0) | (1 << i)
     full = (1 << len(a)) - 1
     gaps = full
     for token in b:
-        matches = gaps & where.get(token, 0)
-        gaps = ((gaps + matches) | (gaps - matches)) & full
-    return len(a) - gaps.bit_count()
+        places = where.get(token)
+        if places:
+            matches = gaps & places
+            gaps = ((gaps + matches) | (gaps - matches)) & full
+    return start + back + len(a) - gaps.bit_count()
 
 
 def common_length(a: Column, b: Column) -> Column:
-    """Longest common subsequence of two token arrays (Arrow batches)."""
+    """Longest common subsequence of two token arrays (Arrow batches).
 
-    @F.pandas_udf("int")
-    def lcs(left: pd.Series, right: pd.Series) -> pd.Series:
-        return pd.Series([_common_length(x, y) for x, y in zip(left, right)], dtype="int32")
+    Equal arrays and arrays without a common token are told by the JVM; only the others are
+    sent to Python.
+    """
+
+    @F.arrow_udf("int")
+    def lcs(left: pa.Array, right: pa.Array) -> pa.Array:
+        pairs = zip(left.to_pylist(), right.to_pylist())
+        return pa.array([None if x is None else _common_length(x, y) for x, y in pairs], pa.int32())
 
-    return lcs(a, b)
+    hard = (a != b) & F.coalesce(F.arrays_overlap(a, b), F.lit(False))
+    sent = lcs(F.when(hard, a), F.when(hard, b))
+    return F.when(a == b, F.size(a)).when(hard, sent).when(a.isNotNull() & b.isNotNull(), 0)
 
 
 def rouge_l(expected_tokens: Column, generated_tokens: Column) -> Column:
