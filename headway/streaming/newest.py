@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 ARRIVED = "_arrived"
 ROW = "_row"  # the further columns of a row as JSON, whose order decides between equal times
@@ -25,43 +23,20 @@ def changes_of_newest(
 ) -> DataFrame:
     """A stream of the rows that became the newest of their key: key, time and the others as JSON.
 
-    State holds one row per key that was heard of lately: a timer drops it ``quiet_seconds`` after
-    the last row of its key arrived. A row that arrives after that is passed on again, so what is
-    kept must itself prefer later times, as ``read_newest`` does. The watermark follows the time of
-    arrival: one on ``time`` would drop a key whose newest row is older than the rows of
-    others, and make the result depend on the order of arrival. Rows of a batch are reduced in
-    every task before they meet by key, so a hot key sends one row per task and batch of rows. Rows
-    without key or time are left out.
+    State holds one row per key and stretch of ``quiet_seconds`` of arrival: when a stretch is over,
+    its rows are dropped. A row that arrives after that is passed on again, as is the newest one of a
+    batch without news, so what is kept must itself prefer later times, as ``read_newest`` does. The
+    watermark follows the time of arrival: one on ``time`` would drop a key whose newest row is
+    older than the rows of others, and make the result depend on the order of arrival. Rows of a
+    batch are reduced in every task before they meet by key, so a hot key sends one row per task.
+    Rows without key or time are left out.
     """
-    packed = _packed(rows, key, time, columns)
-    schema = packed.schema
-
-    def reduce(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield frame.sort_values([time, ROW]).drop_duplicates(key, keep="last")
-
-    def follow(keys: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        held = tuple(state.get) if state.exists else None
-        best, arrived = held, 0
-        for frame in frames:
-            for at, row, came in zip(frame[time], frame[ROW], frame[ARRIVED]):
-                found = (int(pd.Timestamp(at).value // 1000), row)
-                best = found if best is None or found > best else best
-                arrived = max(arrived, int(pd.Timestamp(came).value // 1_000_000))
-        if best is None:
-            return
-        state.update(best)
-        state.setTimeoutTimestamp(max(arrived + quiet_seconds * 1000, state.getCurrentWatermarkMs() + 1))
-        if best != held:
-            yield pd.DataFrame({key: [keys[0]], time: [pd.Timestamp(best[0], unit="us")], ROW: [best[1]]})
-
-    arriving = packed.mapInPandas(reduce, schema).withColumn(ARRIVED, F.current_timestamp())
-    return arriving.withWatermark(ARRIVED, "1 minute").groupBy(key).applyInPandasWithState(
-        follow, schema, "at long, row string", "update", GroupStateTimeout.EventTimeTimeout
+    arriving = _packed(rows, key, time, columns).withColumn(ARRIVED, F.current_timestamp())
+    stretch = F.window(ARRIVED, f"{quiet_seconds} seconds")
+    found = arriving.withWatermark(ARRIVED, "1 minute").groupBy(key, stretch).agg(
+        F.max(F.struct(time, ROW)).alias("_best")
     )
+    return found.select(key, F.col(f"_best.{time}").alias(time), F.col(f"_best.{ROW}").alias(ROW))
 
 
 def follow_newest(
