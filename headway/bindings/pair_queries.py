@@ -22,7 +22,7 @@ from headway.plans import templates as T
 from headway.plans.score_runs import compare_runs, score_benchmark
 from headway.plans.validate_pairs import distribution_check, validate_pairs
 from headway.schema import PAIR_FIELDS
-from headway.session import shared_folder
+from headway.session import kept, shared_folder
 from headway.sources import documents as J
 
 # --- functions ----------------------------------------------------------------------
@@ -1434,7 +1434,7 @@ def _first_routes(n: str, condition: str) -> str:
     ),
 )
 def _(b):
-    first = replace(b.listed, described_from=20, timetabled_from=10)
+    first = replace(b.summary, described_from=20, timetabled_from=10)
     first = first.stored("route_stats", "listed_routes")
     items = B.route_items(first).unionByName(B.schedule_items(first))
     return items.select(*_ITEM_COLUMNS)
@@ -1658,7 +1658,8 @@ def _(b):
     ),
 )
 def _(b):
-    predictions, benchmark = b.answers.select("id", "generated"), b.answers.drop("generated")
+    answers = kept(b.answers, "answers")  # made once for both sides
+    predictions, benchmark = answers.select("id", "generated"), answers.drop("generated")
     return score_benchmark(predictions, benchmark, weights=(0.5, 0.25, 0.25)).report
 
 
