@@ -16,16 +16,23 @@ from headway.operators import schedules as S
 from headway.operators import service_days as D
 from headway.operators import trip_rules as Q
 from headway.operators import versions as V
-from headway.session import materialise
+from headway.session import kept, materialise
 
 CHANGE_SECONDS = 120
 HOUR = 3600
+QUARTER = 900
 
 
 def _seconds(c: str) -> str:
     return f"({O.minutes(c)} * 60 + TRY_CAST(split_part({c}, ':', 3) AS INT))"
 
 
+def _stored_times(b: Bound) -> Bound:
+    """The views with stop times joined once, for queries that read them several times."""
+    b.stop_times = kept(b.stop_times, "stop-times")
+    return b
+
+
 def _timed(b: Bound, column: str, name: str):
     return b.stop_times.withColumn(name, gtfs_seconds(F.col(column)).cast("bigint"))
 
@@ -54,6 +61,7 @@ def _departures(b: Bound):
     ),
 )
 def _(b):
+    b = _stored_times(b)
     arrivals = _timed(b, "arrival_time", "ready").select(
         "feed_id", "trip_id", "stop_sequence", "stop_id", (F.col("ready") + CHANGE_SECONDS).alias("ready")
     )
@@ -78,6 +86,7 @@ def _(b):
     ),
 )
 def _(b):
+    b = _stored_times(b)
     arrivals = _timed(b, "arrival_time", "arrives").select("feed_id", "trip_id", "stop_sequence", "stop_id", "arrives")
     return N.asof_join(
         arrivals, _departures(b), ["feed_id", "stop_id"], "arrives", "leaves", HOUR, ["trip_id"],
@@ -102,18 +111,26 @@ def _(b):
     ),
 )
 def _(b):
-    timed = b.transfers.where("min_transfer_time is not null").withColumn("stop_id", F.col("from_stop_id"))
-    arrivals = _timed(b, "arrival_time", "ready").join(timed, ["feed_id", "stop_id"]).select(
-        "feed_id", "trip_id", "from_stop_id", "to_stop_id",
-        (F.col("ready") + F.col("min_transfer_time")).alias("ready"),
+    b = _stored_times(b)
+    # a row per trip and stop, and per transfer: each of their pairs is a row of the result
+    arrivals = _timed(b, "arrival_time", "ready").groupBy(
+        "feed_id", "trip_id", F.col("stop_id").alias("from_stop_id")
+    ).agg(F.transform(F.collect_list(F.struct("ready")), lambda x: x["ready"]).alias("ready"))
+    timed = b.transfers.where("min_transfer_time is not null")
+    links = timed.groupBy("feed_id", "from_stop_id", "to_stop_id").agg(
+        F.collect_list(F.col("min_transfer_time").cast("bigint")).alias("delays")
     )
     departures = _departures(b).withColumnRenamed("stop_id", "to_stop_id")
     found = N.asof_join(
-        arrivals, departures, ["feed_id", "to_stop_id"], "ready", "leaves", HOUR, ["trip_id"]
+        arrivals, departures, ["feed_id", "to_stop_id"], "ready", "leaves", HOUR, [],
+        links=links, on=["feed_id", "from_stop_id"],
     )
-    return found.groupBy("feed_id", "trip_id", "from_stop_id", "to_stop_id").agg(
-        F.count(F.lit(1)).alias("arrivals"), F.count("next_leaves").alias("connected"),
-        F.sum(F.col("next_leaves") - F.col("ready")).alias("waited"),
+    waits = F.zip_with("next_leaves", "ready", lambda leaves, ready: leaves - ready)
+    known = found.withColumn("_waits", F.filter(waits, lambda w: w.isNotNull()))
+    waited = F.aggregate("_waits", F.lit(0).cast("bigint"), lambda total, w: total + w)
+    return known.select(
+        "feed_id", "trip_id", "from_stop_id", "to_stop_id", F.size("ready").cast("bigint").alias("arrivals"),
+        F.size("_waits").cast("bigint").alias("connected"), F.when(F.size("_waits") > 0, waited).alias("waited"),
     )
 
 
@@ -144,12 +161,28 @@ def _runs(b: Bound):
     ),
 )
 def _(b):
-    runs = _runs(b)
-    points = runs.select("feed_id", (F.floor(F.col("starts") / 900) * 900).alias("moment")).distinct()
-    pairs = N.points_in_intervals(points, runs, ["feed_id"], "moment", "starts", "ends", 2 * HOUR)
-    return pairs.groupBy("feed_id", "moment").agg(
-        F.count(F.lit(1)).alias("trips"), F.countDistinct("route_id").alias("routes")
+    def grid(c: str, to=F.ceil):
+        return to(F.col(c) / QUARTER) * QUARTER
+
+    # moments lie on a grid: runs that hold the same ones count together
+    runs = _runs(b).groupBy(
+        "feed_id", "route_id", grid("starts", F.floor).alias("moment"), grid("starts").alias("starts"),
+        grid("ends").alias("ends"),
+    ).agg(F.count(F.lit(1)).alias("trips"))
+    runs = kept(runs, "runs")
+    points = runs.select("feed_id", "moment").distinct()
+    span = ["feed_id", "starts", "ends"]
+    trips = runs.groupBy(*span).agg(F.sum("trips").alias("trips"), F.lit(0).cast("bigint").alias("routes"))
+    # stretches of one route lie apart, so it counts once at any moment
+    stretches = N.merged_intervals(
+        runs.where("route_id is not null").select("route_id", *span).distinct(), ["feed_id", "route_id"],
+        "starts", "ends",
+    )
+    routes = stretches.groupBy(*span).agg(F.lit(0).cast("bigint").alias("trips"), F.count(F.lit(1)).alias("routes"))
+    pairs = N.points_in_intervals(
+        points, trips.unionByName(routes), ["feed_id"], "moment", "starts", "ends", 2 * HOUR
     )
+    return pairs.groupBy("feed_id", "moment").agg(F.sum("trips").alias("trips"), F.sum("routes").alias("routes"))
 
 
 @query(
@@ -313,6 +346,7 @@ _PROBLEMS = f"""
 
 def _frames(b: Bound):
     named = b.stops.select("stop_id", "stop_lat", "stop_lon").where("bigint(stop_id) % 3 <> 0")
+    b = _stored_times(b)
     positions = b.stop_times.select("feed_id", "stop_id").distinct().join(named, "stop_id")
     return Q.trip_frames(b.stop_times, positions, ("stop_id", "arrival_time", "departure_time"))
 

@@ -32,6 +32,9 @@ def asof_join(
     exact: bool = True,
     within: int | None = None,
     prefix: str = "next_",
+    links: DataFrame | None = None,
+    on: Sequence[str] = (),
+    delays: str = "delays",
 ) -> DataFrame:
     """Every left row with the values of the nearest right row of its key in time.
 
@@ -44,11 +47,21 @@ def asof_join(
 
     Both sides are united and read in order of time once, in buckets of ``width``. What a
     bucket needs from further ones is one row, carried over from its key's buckets.
+
+    With ``links`` a left row asks at all right keys that it is linked with by the columns ``on``;
+    its time and the link's ``delays`` are arrays, and it asks at each sum of both. A row per left row
+    and link comes back: the times asked at, and beside them what was found, as arrays. The
+    pairs are never exchanged or sorted: each link carries the different times of its right
+    key in order, so these must be of a bounded kind, as times of day are.
     """
     if direction not in ("forward", "backward"):
         raise ValueError(f"unknown direction {direction}")
     forward = direction == "forward"
     by = list(by)
+    if links is not None:
+        timetable = _timetable(right, by, right_time, values)
+        pairs = left.join(links.join(timetable, by, "left"), list(on))
+        return _asked(pairs, left_time, delays, right_time, values, forward, exact, within, prefix)
     right_key = F.lit(True)
     for c in by:
         right_key = right_key & F.col(c).isNotNull()
@@ -106,6 +119,62 @@ def asof_join(
     )
 
 
+def _timetable(right: DataFrame, by: Sequence[str], time: str, values: Sequence[str]) -> DataFrame:
+    """Per key its different times in order, the first values of each, and the powers of two up to
+    their number, from the largest."""
+    known = right.where(F.col(time).isNotNull()).na.drop(subset=list(by))
+    match = F.struct(F.col(time).alias("time"), *[F.col(c).alias(f"v{i}") for i, c in enumerate(values)])
+    firsts = known.groupBy(*by, F.col(time).alias("_time")).agg(F.min(match).alias("_match"))
+    kept = [] if not values else [F.sort_array(F.collect_list("_match")).alias("_matches")]
+    sorted_times = firsts.groupBy(*by).agg(F.sort_array(F.collect_list("_time")).alias("_times"), *kept)
+    exponents = F.sequence(F.floor(F.log2(F.size("_times"))).cast("int"), F.lit(0), F.lit(-1))
+    return sorted_times.withColumn("_powers", F.transform(exponents, lambda k: F.pow(F.lit(2), k).cast("int")))
+
+
+def _asked(
+    pairs: DataFrame, left_time: str, delays: str, right_time: str, values: Sequence[str], forward: bool,
+    exact: bool, within: int | None, prefix: str,
+) -> DataFrame:
+    """What each pair of a left row and a link finds in the link's timetable, by binary search."""
+    asked = F.flatten(F.transform(left_time, lambda t: F.transform(delays, lambda d: t + d)))
+
+    def place(t: Column) -> Column:
+        """How many times lie before the wanted one."""
+        def before(c: Column) -> Column:
+            return c < t if forward == exact else c <= t
+
+        count = F.aggregate(
+            "_powers", F.lit(0),
+            lambda n, p: F.when(before(F.get("_times", n + p - 1)), n + p).otherwise(n),
+        )
+        return count if forward else count - 1
+
+    def found(source: str, t: Column, at: Column) -> Column:
+        fits = t.isNotNull()
+        if within is not None:
+            fits = fits & (F.abs(F.get("_times", at) - t) <= within)
+        return F.when(fits, F.get(source, at))
+
+    placed = pairs.withColumn(left_time, asked).withColumn("_places", F.transform(left_time, place))
+    result = {right_time: F.zip_with(left_time, "_places", lambda t, at: found("_times", t, at))}
+    for i, c in enumerate(values):
+        result[c] = F.zip_with(left_time, "_places", lambda t, at: found("_matches", t, at)[f"v{i}"])
+    return placed.select("*", *[v.alias(f"{prefix}{c}") for c, v in result.items()]).drop(
+        "_times", "_matches", "_powers", "_places", delays
+    )
+
+
+def merged_intervals(intervals: DataFrame, by: Sequence[str], start: str, end: str) -> DataFrame:
+    """The union of the intervals [start, end) of each key, as intervals that lie apart."""
+    by = list(by)
+    line = Window.partitionBy(*by).orderBy(start, end)
+    before = line.rowsBetween(Window.unboundedPreceding, -1)
+    apart = F.coalesce(F.col(start) > F.max(end).over(before), F.lit(True)).cast("int")
+    islands = intervals.where(F.col(start) < F.col(end)).select(*by, start, end).withColumn("_apart", apart)
+    numbered = islands.withColumn("_island", F.sum("_apart").over(line.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy(*by, "_island").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("_island")
+
+
 def _last_match(values: Sequence[str]) -> Column:
     """Of the latest right rows the first by their values."""
     order = F.struct((-F.col("_time")).alias("t"), *[F.col(f"_match.v{i}") for i in range(len(values))])

@@ -290,3 +290,48 @@ def test_slots_grow_with_the_rows():
     assert slot_digits(0) == slot_digits(10**8) == 3
     for rows_ in (10**9, 10**11, 10**13):
         assert rows_ / 16 ** slot_digits(rows_) <= SLOT_ROWS
+
+
+def test_asof_join_through_links(spark):
+    r = random.Random(11)
+    maybe = lambda n: r.choice([None, *range(n)])
+    asks = [(i, maybe(4), [r.choice([None, r.randint(-5, 60)]) for _ in range(r.randint(0, 3))]) for i in range(40)]
+    offered = [(maybe(5), r.choice([None, r.randint(-5, 60)]), maybe(9)) for _ in range(90)]
+    linked = [(r.randint(0, 3), maybe(7), [r.randint(0, 4) for _ in range(r.randint(1, 2))]) for _ in range(12)]
+    left = spark.createDataFrame(asks, "id int, a int, t array<bigint>")
+    right = spark.createDataFrame(offered, "b int, u bigint, v int")
+    links = spark.createDataFrame(linked, "a int, b int, delays array<bigint>")
+    flat = left.select("id", "a", F.explode("t").alias("t")).join(links, "a").select(
+        "id", "a", "b", F.explode("delays").alias("d"), "t"
+    ).select("id", "a", "b", (F.col("t") + F.col("d")).alias("t"))
+    for direction in ("forward", "backward"):
+        for exact, within in ((True, None), (False, 9)):
+            found = N.asof_join(
+                left, right, ["b"], "t", "u", 10, ["v"], direction, exact, within, links=links, on=["a"]
+            )
+            assert found.columns == ["a", "id", "t", "b", "next_u", "next_v"]
+            one = found.select("id", "a", "b", F.explode(F.arrays_zip("t", "next_u", "next_v")).alias("x")).select(
+                "id", "a", "b", "x.*"
+            )
+            want = N.asof_join(flat, right, ["b"], "t", "u", 10, ["v"], direction, exact, within)
+            assert rows(one) == rows(want) and one.count() == flat.count()
+
+
+def test_linked_pairs_are_not_exchanged(spark):
+    left = spark.createDataFrame([(1, "t", [5])], "a int, trip string, t array<bigint>")
+    links = spark.createDataFrame([(1, 2, [1])], "a int, b int, delays array<bigint>")
+    right = spark.createDataFrame([(2, 9)], "b int, u bigint")
+    found = N.asof_join(left, right, ["b"], "t", "u", 10, [], links=links, on=["a"])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Union" not in plan
+
+
+def test_merged_intervals(spark):
+    r = random.Random(5)
+    data = [(r.randint(0, 3), s, s + r.randint(-2, 9)) for s in (r.randint(0, 90) for _ in range(60))]
+    df = spark.createDataFrame([*data, (9, None, 4), (9, 4, None)], "k int, s int, e int")
+    found = N.merged_intervals(df, ["k"], "s", "e").collect()
+    covered = lambda rows: {(k, i) for k, s, e in rows for i in range(s, e)}
+    assert covered([(x.k, x.s, x.e) for x in found]) == covered(data)
+    ends = {(x.k, x.e) for x in found}
+    assert not any((x.k, x.s) in ends for x in found) and len(found) < len(data)
