@@ -4,9 +4,11 @@ Within a host, pages with the same lines count as one; the rest are ordered by U
 before and the two behind a page are its nearest ones. Their text lines are aligned by longest
 common subsequence. A line shared with a neighbour belongs to the site, not to the page, unless
 that neighbour shares nearly all lines: then it is a copy, and only lines go that a second
-neighbour shares as well. Lines inside an article element are the page's own even if a copy
-of the article stands next to it, so pages with one need no neighbours. Elements that are
-boilerplate by name (menus, footers, forms, adverts, comments) go as well.
+neighbour shares as well. All pages are aligned, those with article elements too: there the
+alignment tells whether the article is the page's own. With a line of its own an article stays
+whole, because articles of one host share paragraphs; one of shared lines only (teasers, a notice)
+gives way to longer own text outside of it, and stays where there is none, as in copies. Elements
+that are boilerplate by name (menus, footers, forms, adverts, comments) go as well.
 
 Pages are read twice: first for the hashes of their lines, then for the texts, once the places
 of shared lines are known. Only hashes and places are exchanged and stored.
@@ -257,24 +259,23 @@ def _addressed(pages: DataFrame) -> DataFrame:
 
 
 def line_hashes(pages: DataFrame) -> DataFrame:
-    """Per page its key, host and path, the best place of its lines, and their hashes."""
+    """Per page its key, host and path, and the hashes of its lines."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "html"):
                 found = [lines(t) for t in column(part, "html").to_pylist()]
-                best = [max((p for _, p in f), default=-1) for f in found]
                 hashes = [_line_hashes([t for t, _ in f]) for f in found]
                 yield pa.RecordBatch.from_arrays(
                     [
                         *[column(part, c) for c in ("key", "host", "path")],
-                        pa.array(best, pa.int32()), pa.array(hashes, pa.list_(pa.int64())),
+                        pa.array(hashes, pa.list_(pa.int64())),
                     ],
-                    names=["key", "host", "path", "best", "hashes"],
+                    names=["key", "host", "path", "hashes"],
                 )
 
     return _addressed(pages).select("key", "host", "path", "html").mapInArrow(
-        run, "key binary, host string, path string, best int, hashes array<long>"
+        run, "key binary, host string, path string, hashes array<long>"
     )
 
 
@@ -291,16 +292,16 @@ def site_lines(own: list[int], others: list[list[int]]) -> list[int]:
 
 
 def shared_lines(found: DataFrame) -> DataFrame:
-    """Per page (key) without an article the places of lines that belong to its site.
+    """Per page (key) the places of lines that belong to its site.
 
     Pages with the same lines on a host are one: a page that was fetched twice learns from the
     next different one.
     """
     hosted = found.filter((F.col("host") != "") & (F.size("hashes") > 0))
-    different = hosted.groupBy("host", "hashes").agg(F.min("path").alias("path"), F.min("best").alias("best"))
+    different = hosted.groupBy("host", "hashes").agg(F.min("path").alias("path"))
     ranked = numbered(different, ["host", "path", "hashes"], "rank")
     steps = F.explode(F.array(*[F.lit(i) for i in (-2, -1, 1, 2)])).alias("step")
-    asking = ranked.filter(F.col("best") < 2).select("rank", "host", steps)
+    asking = ranked.select("rank", "host", steps)
     near = (
         asking.select(F.col("rank").alias("asker"), (F.col("rank") + F.col("step")).alias("rank"), "host")
         .join(ranked.select("rank", "host", "hashes"), ["rank", "host"])
@@ -319,17 +320,36 @@ def shared_lines(found: DataFrame) -> DataFrame:
     told = ranked.join(near, F.col("rank") == F.col("asker")).select("host", "hashes", "others").mapInArrow(
         run, "host string, hashes array<long>, shared array<int>"
     )
-    asked = hosted.filter(F.col("best") < 2).select("key", "host", "hashes").dropDuplicates(["key"])
+    asked = hosted.select("key", "host", "hashes").dropDuplicates(["key"])
     return asked.join(told.filter(F.size("shared") > 0), ["host", "hashes"]).select("key", "shared")
 
 
+def own_text(found: list[tuple[str, int]], shared: set[int]) -> str:
+    """The main text among the lines of a page, given the places of those that neighbours share.
+
+    Lines inside article elements if one of them is not shared; else own lines in main, else all
+    other own ones. An article of shared lines only is a copy or belongs to the site: it stays
+    unless the own text outside is longer.
+    """
+    best = max((p for _, p in found), default=-1)
+    own = [(t, p) for i, (t, p) in enumerate(found) if i not in shared]
+    if best == 2:
+        article = [t for t, p in found if p == 2]
+        outside = max((p for _, p in own), default=-1)
+        other = [t for t, p in own if p == outside]
+        if outside == 2 or sum(map(len, other)) <= sum(map(len, article)):
+            return "\n".join(article)
+        best = outside
+    return "\n".join(t for t, p in own if p == best)
+
+
 def main_texts(pages: DataFrame) -> DataFrame:
     """Every page with its main text: page_id, url, text (blocks joined by newlines), n_chars.
 
     A null html counts as empty and gives an empty text. Pages without a host, or alone on it,
-    have no neighbours and lose lines by element names only. Equal rows stay. A page with
-    article elements gives the lines inside them; else those in main; else all others. An empty
-    table gives no rows. Only page_id, url and html are read, so further columns cannot clash.
+    have no neighbours and lose lines by element names only. Equal rows stay. What remains of a
+    page is told by ``own_text``. An empty table gives no rows. Only page_id, url and html are
+    read, so further columns cannot clash.
     """
     found = stored(line_hashes(pages), "lines")
     shared = stored(shared_lines(found), "shared")
@@ -341,10 +361,7 @@ def main_texts(pages: DataFrame) -> DataFrame:
             for part in slices(batch, "html"):
                 texts = []
                 for page, gone in zip(column(part, "html").to_pylist(), column(part, "shared").to_pylist()):
-                    all_lines, gone = lines(page), set(gone or ())
-                    best = max((p for _, p in all_lines), default=-1)
-                    kept = (t for i, (t, p) in enumerate(all_lines) if p == best >= 0 and i not in gone)
-                    texts.append("\n".join(kept))
+                    texts.append(own_text(lines(page), set(gone or ())))
                 yield pa.RecordBatch.from_arrays(
                     [column(part, "page_id"), column(part, "url"), pa.array(texts, pa.string())],
                     names=["page_id", "url", "text"],

@@ -432,6 +432,22 @@ def test_neighbours_tell_site_lines(spark):
     assert found == wanted | {200: f"{story}\nOne", 201: f"{story}\nTwo"}
 
 
+def test_neighbours_judge_articles(spark):
+    """Teasers that all pages share give way to longer own text; articles with own lines stay whole,
+    and so do copies of an article."""
+    teasers = "".join(f"<article><p>Teaser {i}</p></article>" for i in range(3))
+    story = "The own story of page {} is told at length outside of any article element."
+    pages = [(i, f"https://a.example/{i}", f"{teasers}<div>{story.format(i)}</div>") for i in range(5)]
+    pages += [(10 + i, f"https://b.example/{i}", f"<article><p>Common</p><p>Own {i}</p></article>")
+              for i in range(5)]
+    copied = "<article><p>One story</p><p>that is fetched often</p></article>"
+    pages += [(20 + i, f"https://c.example/{i}", f"{copied}<div>Views: {i}</div>") for i in range(5)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in page_text.main_texts(df).collect()}
+    wanted = {i: story.format(i) for i in range(5)} | {10 + i: f"Common\nOwn {i}" for i in range(5)}
+    assert found == wanted | {20 + i: "One story\nthat is fetched often" for i in range(5)}
+
+
 def test_main_texts_against_brute_force(spark):
     r = np.random.default_rng(6)
     pages = []
