@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ DEMAND_VERBS = (
 DEMAND_PATTERN = rf"(?iU)^Must\s+(?:{DEMAND_VERBS})\s*:?\s*"
 AT_LEAST_PATTERN = r"(?iU)at least (\d+) of:?\s*"
 TERM_BREAK = r"(?U),\s*|\s+and\s+|\s+or\s+"
-TOKEN_BREAK = r"[^a-z0-9]+"
+TOKEN = r"[a-z0-9]+"
 
 # Fixed value: weights of ROUGE-L, keyword and criteria scores.
 SCORE_WEIGHTS = (0.4, 0.3, 0.3)
@@ -69,27 +70,38 @@ def criteria_terms(criteria: Column) -> Column:
 
 def criteria_match(criteria: Column, generated: Column) -> Column:
     """Share of the phrases found; with a minimum, 1 once that many are found."""
-    terms = criteria_terms(criteria)
     answer = F.lower(generated)
-    hits = F.size(F.filter(terms, lambda t: F.contains(answer, F.lower(t)))).cast("double")
-    minimum = criteria_minimum(criteria)
-    share = (
-        F.when(F.size(terms) == 0, 0.0)
-        .when(hits >= minimum, 1.0)
-        .when(minimum.isNotNull(), F.try_divide(hits, minimum))
-        .otherwise(F.try_divide(hits, F.size(terms)))
+
+    # one walk over the phrases: a column used twice, unless cheap, is taken apart twice
+    def count(so_far: Column, term: Column) -> Column:
+        hit = F.when(F.contains(answer, F.lower(term)), 1).otherwise(0)
+        return F.struct(
+            (so_far["n"] + 1).alias("n"),
+            (so_far["hits"] + hit).alias("hits"),
+            so_far["minimum"].alias("minimum"),
+        )
+
+    def share(found: Column) -> Column:
+        need = F.coalesce(found["minimum"], found["n"])
+        return (
+            F.when(found["n"] == 0, 0.0)
+            .when(found["hits"] >= need, 1.0)
+            .otherwise(F.try_divide(found["hits"].cast("double"), need))
+        )
+
+    none = F.struct(
+        F.lit(0).alias("n"), F.lit(0).alias("hits"), criteria_minimum(criteria).alias("minimum")
     )
     given = (F.coalesce(criteria, F.lit("")) != "") & (F.coalesce(generated, F.lit("")) != "")
-    return F.when(given, share).otherwise(0.0)
+    return F.when(given, F.aggregate(criteria_terms(criteria), none, count, share)).otherwise(0.0)
 
 
 def tokens(text: Column) -> Column:
     """Lower-case letter and digit runs."""
-    parts = F.split(F.lower(F.coalesce(text, F.lit(""))), TOKEN_BREAK)
-    return F.filter(parts, lambda t: t != "")
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN), 0)
 
 
-def _common_length(a: list[str], b: list[str]) -> int:
+def _common_length(a: list[int], b: list[int]) -> int:
     """Length of the longest common subsequence of two token lists.
 
     Common ends are taken off first. Bit i of ``gaps`` is cleared when the i-th token of ``a``
@@ -103,7 +115,7 @@ def _common_length(a: list[str], b: list[str]) -> int:
     while back < most and a[-1 - back] == b[-1 - back]:
         back += 1
     a, b = a[start : len(a) - back], b[start : len(b) - back]
-    where: dict[str, int] = {}
+    where: dict[int, int] = {}
     for i, token in enumerate(a):
         where[token] = where.get(token, 0) | (1 << i)
     full = (1 << len(a)) - 1
@@ -116,6 +128,20 @@ def _common_length(a: list[str], b: list[str]) -> int:
     return start + back + len(a) - gaps.bit_count()
 
 
+def _numbered(*sides: pa.Array) -> list[list[list[int]]]:
+    """Token lists as lists of numbers, the same for equal tokens; a NULL list is empty.
+
+    Numbered by Arrow, because a Python string per token costs more than the comparison.
+    """
+    tokens = pa.concat_arrays([side.flatten() for side in sides])
+    numbers = tokens.dictionary_encode(null_encoding="encode").indices.to_numpy().tolist()
+    lengths = [side.value_lengths().fill_null(0).to_numpy() for side in sides]
+    ends = np.cumsum(np.concatenate([[0], *lengths])).tolist()
+    lists = [numbers[start:end] for start, end in zip(ends, ends[1:])]
+    cuts = np.cumsum([0, *map(len, sides)]).tolist()
+    return [lists[start:end] for start, end in zip(cuts, cuts[1:])]
+
+
 def common_length(a: Column, b: Column) -> Column:
     """Longest common subsequence of two token arrays (Arrow batches).
 
@@ -125,8 +151,8 @@ def common_length(a: Column, b: Column) -> Column:
 
     @F.arrow_udf("int")
     def lcs(left: pa.Array, right: pa.Array) -> pa.Array:
-        pairs = zip(left.to_pylist(), right.to_pylist())
-        return pa.array([None if x is None else _common_length(x, y) for x, y in pairs], pa.int32())
+        # lists that are not sent are NULL; the column around does not read their length
+        return pa.array([_common_length(x, y) for x, y in zip(*_numbered(left, right))], pa.int32())
 
     hard = (a != b) & F.coalesce(F.arrays_overlap(a, b), F.lit(False))
     sent = lcs(F.when(hard, a), F.when(hard, b))

@@ -33,8 +33,11 @@ def score_answers(answers: DataFrame, weights=SCORE_WEIGHTS, stems=tokens) -> Da
     ``stems`` turns a text column into the token array compared by ROUGE-L.
     """
     expected, generated = F.col("expected_answer"), F.col("generated")
+    # columns of their own, so that a text is taken apart once however often ROUGE-L reads it
+    stemmed = answers.withColumns({"_expected": stems(expected), "_generated": stems(generated)})
     return (
-        answers.withColumn("rouge_l", rouge_l(stems(expected), stems(generated)))
+        stemmed.withColumn("rouge_l", rouge_l(F.col("_expected"), F.col("_generated")))
+        .drop("_expected", "_generated")
         .withColumn("keyword_match", keyword_match(expected, generated))
         .withColumn("criteria_match", criteria_match(F.col("scoring_criteria"), generated))
         .withColumn(

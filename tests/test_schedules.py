@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from conftest import rows
 
@@ -147,3 +149,25 @@ def test_document(summary):
     names = {(t.from_stop_name, t.to_stop_name) for t in a.transfer_summary.sample_transfers}
     assert names == {("Platform 1", "Market"), ("Market", "Hill Foot"), ("Hill Foot", "")}
     assert a.calendar_summary.date_range == ["20260101", "20261231"]
+
+
+def test_sorts_by_route_start_with_the_route(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        trips = spark.createDataFrame(
+            [("1", "T1", "R1", "Hill")], "feed_id string, trip_id string, route_id string,"
+            " trip_headsign string",
+        )
+        times = spark.createDataFrame(
+            [("1", "T1", 1, "S1", "08:00:00", 0)], "feed_id string, trip_id string,"
+            " stop_sequence int, stop_id string, departure_time string, _pos int",
+        )
+        found = S.route_schedules(trips, times)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    sorts = [re.findall(r"(\w+)#", x) for x in plan.splitlines() if re.search(r" Sort \[", x)]
+    by_route = [keys for keys in sorts if "route_id" in keys]
+    assert by_route and all(keys[0] == "route_id" for keys in by_route)
+    assert found.columns[:2] == ["feed_id", "route_id"]
+    assert found.first()[:4] == ("1", "R1", 1, 1)

@@ -1,6 +1,8 @@
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
+from headway.functions.texts import TERM_BREAK, TOKEN, common_length
 from headway.operators import scoring as S
 from headway.plans.score_runs import compare_runs, score_benchmark
 
@@ -89,3 +91,24 @@ def test_lookup(spark):
                                     "question string, answer string")
     found = S.answer_lookup(questions, answers, "none", ["answer"])
     assert rows(found, "question", "answer") == [(" what IS it? ", "a"), ("else", "none")]
+
+
+def test_texts_are_taken_apart_once(spark, benchmark):
+    answered = benchmark.withColumn("generated", F.upper("expected_answer"))
+    plan = S.score_answers(answered)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(TOKEN) == 2  # expected and generated
+    assert plan.count(TERM_BREAK) == 1
+
+
+def test_common_length_of_awkward_lists(spark):
+    pairs = [
+        (["a", "x", "b", "c"], ["b", "a", "y", "c"], 2),
+        ([], ["a"], 0),
+        (["a"], ["a"], 1),
+        (["a", None, "b"], ["c", None, "b", "d"], 2),
+        (None, ["a"], None),
+        (["a b", "c", "é"], ["é", "a b", "c"], 2),
+    ]
+    df = spark.createDataFrame(pairs, "a array<string>, b array<string>, n int").coalesce(1)
+    for r in df.select("*", common_length(F.col("a"), F.col("b")).alias("found")).collect():
+        assert r.found == r.n, r
